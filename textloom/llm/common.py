@@ -53,3 +53,25 @@ def text_or_empty(name: str = "text") -> Column:
 def blocks(rows: int, per_block: int) -> int:
     """How many blocks of at most about ``per_block`` rows hold ``rows`` rows."""
     return max(1, -(-rows // per_block))
+
+
+#: A key is hot if it holds more than this share of the rows; so there are fewer than 1 / HOT_SHARE hot keys.
+HOT_SHARE = 0.001
+
+
+def attach(left: DataFrame, facts: DataFrame, key: str, value: str, rows: str, spread: Column) -> DataFrame:
+    """``left`` with the column ``value`` of ``facts`` (one row a key, with the key's number of rows).
+
+    Hot keys, at most 1 / HOT_SHARE of them at any size, are broadcast; their rows are dealt by
+    ``spread`` in the join of the others, so that no task gets a key with more than HOT_SHARE of the rows.
+    ``facts`` is read three times: materialise it first. Keys are strings and never null.
+    """
+    total = facts.agg(F.sum(rows)).first()[0] or 0
+    is_hot = F.col(rows) > HOT_SHARE * total
+    hot = facts.where(is_hot).select(F.col(key).alias("__hot"), F.col(value).alias("__hot_value"))
+    rest = facts.where(~is_hot).select(F.col(key).alias("__dealt"), value)
+    marked = left.join(F.broadcast(hot), F.col(key) == F.col("__hot"), "left")
+    dealt = F.when(F.col("__hot").isNull(), F.col(key)).otherwise(F.concat(F.lit("hot "), spread.cast("string")))
+    joined = marked.withColumn("__key", dealt).join(rest, F.col("__key") == F.col("__dealt"), "left")
+    found = F.when(F.col("__hot").isNull(), F.col(value)).otherwise(F.col("__hot_value"))
+    return joined.withColumn(value, found).drop("__hot", "__hot_value", "__key", "__dealt")

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import gif
-from textloom.llm.common import bounded_batches, table
+from textloom.llm import gif, warc
+from textloom.llm.common import bounded_batches, materialize, table
 
 
 def op3_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +15,32 @@ def op3_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gif.media_digest(stored, carry=["doc_id", "n_bytes"])
 
 
-QUERIES = {"op3_gif_media": op3_gif_media}
-
-ORACLES: dict[str, str] = {}
+def op10_warc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to monolithic archives, normalised, and read back through the index."""
+    bounded_batches(spark)
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    archives = materialize(warc.write_archives(warc.with_dedup(pages)), "op10-archives")
+    normalised = materialize(warc.normalise_archives(archives), "op10-normalised")
+    return warc.read_pages(normalised)
+
+
+QUERIES = {"op3_gif_media": op3_gif_media, "op10_warc_normalise": op10_warc_normalise}
+
+ORACLES: dict[str, str] = {
+    "op10_warc_normalise": """
+        WITH hashed AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+        ), bits AS (
+            SELECT *, max(page_id) OVER (PARTITION BY hex) AS winner,
+                array_to_string(list_transform(range(1, 41), lambda i: lpad(bin(instr('0123456789abcdef', hex[i]) - 1), 4, '0')), '') AS b
+            FROM hashed
+        )
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+            array_to_string(list_transform(range(0, 32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[
+                1 + 16 * CAST(b[5 * i + 1] AS INT) + 8 * CAST(b[5 * i + 2] AS INT) + 4 * CAST(b[5 * i + 3] AS INT)
+                + 2 * CAST(b[5 * i + 4] AS INT) + CAST(b[5 * i + 5] AS INT)]), '') AS payload_digest,
+            CASE WHEN page_id IS DISTINCT FROM winner THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN page_id IS DISTINCT FROM winner THEN winner END AS refers_to
+        FROM bits
+    """,
+}
