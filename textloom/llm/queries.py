@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import gif, warc
+from textloom.llm import gif, packing, warc
 from textloom.llm.common import bounded_batches, materialize, table
 
 
@@ -15,6 +16,13 @@ def op3_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gif.media_digest(stored, carry=["doc_id", "n_bytes"])
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text tokenised, cut and packed into sequences of 1024 tokens."""
+    bounded_batches(spark)
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), carry=["doc_id"])
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op10_warc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to monolithic archives, normalised, and read back through the index."""
     bounded_batches(spark)
@@ -24,7 +32,11 @@ def op10_warc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_pages(normalised)
 
 
-QUERIES = {"op3_gif_media": op3_gif_media, "op10_warc_normalise": op10_warc_normalise}
+QUERIES = {
+    "op3_gif_media": op3_gif_media,
+    "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_warc_normalise": op10_warc_normalise,
+}
 
 ORACLES: dict[str, str] = {
     "op10_warc_normalise": """
