@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import gif, packing, warc
+from textloom.llm import gif, packing, pieces, warc
 from textloom.llm.common import bounded_batches, materialize, table
 
 
@@ -16,6 +16,12 @@ def op3_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gif.media_digest(stored, carry=["doc_id", "n_bytes"])
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded and decoded with the 32k merge-type model."""
+    bounded_batches(spark)
+    return pieces.encoding_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), carry=["doc_id"])
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text tokenised, cut and packed into sequences of 1024 tokens."""
     bounded_batches(spark)
@@ -34,6 +40,7 @@ def op10_warc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_gif_media": op3_gif_media,
+    "op6_sentencepiece": op6_sentencepiece,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_warc_normalise": op10_warc_normalise,
 }
