@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from textloom.llm import gif, packing, pieces, warc
+from textloom.llm import gif, langid, packing, pieces, warc
 from textloom.llm.common import bounded_batches, materialize, table
 
 
@@ -16,6 +17,16 @@ def op3_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gif.media_digest(stored, carry=["doc_id", "n_bytes"])
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's language, by filters learned from the labelled documents that aren't held out."""
+    bounded_batches(spark)
+    documents = table(spark, sf_dir, "documents")
+    apart = langid.held_out(F.col("doc_id"))
+    filters = langid.fit(documents.where(~apart), F.col("doc_id"))
+    found = langid.predict_column(documents.select("doc_id", apart.alias("held_out"), "text"), filters, carry=["doc_id", "held_out"])
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded with the 32k merge-type model."""
     bounded_batches(spark)
@@ -40,6 +51,7 @@ def op10_warc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_gif_media": op3_gif_media,
+    "op5_language_id": op5_language_id,
     "op6_sentencepiece": op6_sentencepiece,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_warc_normalise": op10_warc_normalise,
