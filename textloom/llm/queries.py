@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import gif, langid, packing, pieces, warc
+from textloom.llm import gif, langid, packing, pieces, simhash, warc
 from textloom.llm.common import bounded_batches, materialize, table
 
 
@@ -17,6 +17,12 @@ def op3_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gif.media_digest(stored, carry=["doc_id", "n_bytes"])
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and the class that links of three bits or fewer put it in."""
+    bounded_batches(spark)
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text's language, by filters learned from the labelled documents that aren't held out."""
     bounded_batches(spark)
@@ -51,6 +57,7 @@ def op10_warc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_gif_media": op3_gif_media,
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_language_id": op5_language_id,
     "op6_sentencepiece": op6_sentencepiece,
     "op9_best_fit_packing": op9_best_fit_packing,
