@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import gif, langid, packing, pieces, secrets, simhash, warc
+from textloom.llm import gif, langid, packing, pieces, pii, secrets, simhash, warc
 from textloom.llm.common import bounded_batches, materialize, table
 
 
@@ -39,6 +39,11 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoding_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), carry=["doc_id"])
 
 
+def op7_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's personal data: fixed forms, and what their contexts find."""
+    return pii.report(pii.find(table(spark, sf_dir, "documents"), carry=["doc_id"]), ["doc_id"])
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text's secrets: fixed forms, and random strings by the test battery."""
     return secrets.report(secrets.scan(table(spark, sf_dir, "documents"), carry=["doc_id"]), ["doc_id"])
@@ -65,6 +70,7 @@ QUERIES = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_language_id": op5_language_id,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_contextual_pii": op7_contextual_pii,
     "op8_secret_scan": op8_secret_scan,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_warc_normalise": op10_warc_normalise,
