@@ -6,10 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import gif, langid, packing, pieces, pii, secrets, simhash, warc
+from textloom.llm import ann, gif, langid, packing, pieces, pii, secrets, simhash, warc
 from textloom.llm.common import bounded_batches, materialize, table
 
 
+def op2_one_bit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id 20 divides, among all others."""
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text stored as a GIF, read back, digested."""
     bounded_batches(spark)
@@ -66,6 +71,7 @@ def op10_warc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_one_bit_search": op2_one_bit_search,
     "op3_gif_media": op3_gif_media,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_language_id": op5_language_id,
@@ -77,6 +83,18 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_one_bit_search": """
+        WITH v AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), pairs AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_reduce(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i]), lambda a, x: a + x) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0
+        )
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+        FROM pairs QUALIFY rank <= 20
+    """,
     "op10_warc_normalise": """
         WITH hashed AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
