@@ -6,10 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import ann, gif, langid, packing, pieces, pii, secrets, simhash, warc
+from textloom.llm import ann, gif, langid, mincut, packing, pieces, pii, secrets, simhash, warc
 from textloom.llm.common import bounded_batches, materialize, table
 
 
+def op1_min_cut_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    bounded_batches(spark)
+    return mincut.extract(table(spark, sf_dir, "pages"), carry=["page_id", "url"])
+
+
 def op2_one_bit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every vector whose id 20 divides, among all others."""
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
@@ -71,6 +77,7 @@ def op10_warc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_min_cut_text": op1_min_cut_text,
     "op2_one_bit_search": op2_one_bit_search,
     "op3_gif_media": op3_gif_media,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
