@@ -72,6 +72,7 @@ def attach(left: DataFrame, facts: DataFrame, key: str, value: str, rows: str, s
     rest = facts.where(~is_hot).select(F.col(key).alias("__dealt"), value)
     marked = left.join(F.broadcast(hot), F.col(key) == F.col("__hot"), "left")
     dealt = F.when(F.col("__hot").isNull(), F.col(key)).otherwise(F.concat(F.lit("hot "), spread.cast("string")))
-    joined = marked.withColumn("__dealt_key", dealt).join(rest, F.col("__dealt_key") == F.col("__dealt"), "left")
+    # The rest grows with the input, so it is never broadcast: plans, and the room they need, are the same at every size.
+    joined = marked.withColumn("__dealt_key", dealt).join(rest.hint("merge"), F.col("__dealt_key") == F.col("__dealt"), "left")
     found = F.when(F.col("__hot").isNull(), F.col(value)).otherwise(F.col("__hot_value"))
     return joined.withColumn(value, found).drop("__hot", "__hot_value", "__dealt_key", "__dealt")
