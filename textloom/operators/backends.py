@@ -5,6 +5,7 @@ from __future__ import annotations
 from abc import ABC, abstractmethod
 from collections.abc import Callable
 from functools import lru_cache
+from importlib import import_module
 from typing import Any
 
 from textloom.functions.merge import merge_fuzzy
@@ -104,13 +105,13 @@ class MarianTranslator(Translator):
 _MAKERS: dict[str, Callable[..., Translator]] = {"echo": lambda **_: EchoTranslator(), "forgetful": lambda **_: ForgetfulTranslator()}
 
 
-def register(name: str, maker: Callable[..., Translator]) -> None:
-    """Makes a model known by name. Workers must be able to run this too: register on import of a module they have."""
-    _MAKERS[name] = maker
-
-
 @lru_cache(4)
 def translator(name: str, device: str = "cpu", max_new_tokens: int = 512, num_beams: int = 1) -> Translator:
+    """A built-in model, one that ``module:attribute`` makes (workers import it), or one of the transformers library."""
+    options = {"device": device, "max_new_tokens": max_new_tokens, "num_beams": num_beams}
     if name in _MAKERS:
-        return _MAKERS[name](device=device, max_new_tokens=max_new_tokens, num_beams=num_beams)
+        return _MAKERS[name](**options)
+    if ":" in name:
+        module, _, attribute = name.partition(":")
+        return getattr(import_module(module), attribute)(**options)
     return MarianTranslator(name, device, max_new_tokens, num_beams)

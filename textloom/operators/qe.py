@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from importlib import import_module
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -13,17 +14,11 @@ from textloom.functions.text import quality_label, strip
 from textloom.operators.combine import QE_COLUMNS, rename_reserved, zip_rows
 
 GOOD = ("ok", "ok_chunked")
-#: Scorers of lists of (source, translation) pairs, by backend; a maker gets the model's name.
-_SCORERS: dict[str, Callable[[str], Callable[[list[tuple[str, str]]], list[float]]]] = {}
 DISABLED = ("transquest",)
 #: The built-in backend: the shorter length as a share of the longer, as an expression.
 NATIVE = "length_ratio"
 
 
-def register(name: str, maker: Callable[[str], Callable[[list[tuple[str, str]]], list[float]]]) -> None:
-    _SCORERS[name] = maker
-
-
 def _comet(model_name: str) -> Callable[[list[tuple[str, str]]], list[float]]:
     from comet import download_model, load_from_checkpoint
 
@@ -31,13 +26,14 @@ def _comet(model_name: str) -> Callable[[list[tuple[str, str]]], list[float]]:
     return lambda pairs: [float(s) for s in model.predict([{"src": a, "mt": b} for a, b in pairs], batch_size=8)["scores"]]
 
 
-register("comet", _comet)
+#: Scorers of lists of (source, translation) pairs, by backend; a maker gets the model's name.
+_SCORERS: dict[str, Callable[[str], Callable[[list[tuple[str, str]]], list[float]]]] = {"comet": _comet}
 
 
 def check_backend(name: str | None, model_name: str | None) -> None:
     if name in DISABLED:
         raise ValueError(f"quality backend {name!r} is disabled")
-    if name != NATIVE and name not in _SCORERS:
+    if name != NATIVE and name not in _SCORERS and ":" not in (name or ""):
         raise ValueError(f"unsupported quality backend {name!r}; there are {sorted([NATIVE, *_SCORERS])}")
     if name != NATIVE and not model_name:
         raise ValueError("a quality model name is required")
@@ -45,6 +41,10 @@ def check_backend(name: str | None, model_name: str | None) -> None:
 
 @lru_cache(4)
 def _scorer(name: str, model_name: str) -> Callable[[list[tuple[str, str]]], list[float]]:
+    """A known backend, or what ``module:attribute`` makes; workers import it."""
+    if ":" in name:
+        module, _, attribute = name.partition(":")
+        return getattr(import_module(module), attribute)(model_name)
     return _SCORERS[name](model_name)
 
 
@@ -98,7 +98,7 @@ def _columns(df: DataFrame, source: Column, translated: Column, wanted: Column,
         "qe_label": F.when(want, quality_label(score, high, medium)),
         "qe_error": F.when(want, F.col("__r.error")).otherwise(F.col("__reason")),
         "qe_backend": F.when(want, F.lit(backend)),
-        "qe_model_name": F.when(want, F.lit(model_name)),
+        "qe_model_name": F.when(want, F.lit(model_name).cast("string")),
     }).drop("__want", "__reason", "__a", "__b", "__r")
 
 
@@ -131,4 +131,4 @@ def score_paired(left: DataFrame, right: DataFrame, source: str = "message", tra
     return _columns(zipped, F.col("__s"), F.col("__t"), F.lit(True), F.lit(None).cast("string"), backend, options.get("model_name"), options.get("high", 0.7), options.get("medium", 0.4)).drop("__s", "__t")
 
 
-__all__ = ["QE_COLUMNS", "check_backend", "register", "score_combined", "score_paired", "with_quality"]
+__all__ = ["QE_COLUMNS", "check_backend", "score_combined", "score_paired", "with_quality"]

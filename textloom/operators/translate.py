@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +30,6 @@ def counted(text: Column, config: Config) -> Column:
     """Tokens by the model's tokenizer; the built-in models' are an expression."""
     if config.model_name in _BUILT_IN or config.model_name is None:
         return token_count(text)
-    import pandas as pd
-
     name, options = config.model_name, (config.device, config.max_new_tokens, config.num_beams)
 
     @F.pandas_udf("int")
