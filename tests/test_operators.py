@@ -135,6 +135,18 @@ def test_quality_backends(spark):
             qe.check_backend(name, model)
 
 
+def test_disabled_scorer_shapes():
+    pairs = [("a", "b"), ("c", "d"), ("e", "f")]
+    for shape, want in ((lambda p: [0.5] * len(p), [0.5] * 3), (lambda p: [[0.25]] * len(p), [0.25] * 3), (lambda p: ([0.1] * len(p), "raw"), [0.1] * 3)):
+        assert qe.transquest_scores(pairs, shape) == want
+    assert qe.transquest_scores(pairs[:1], lambda p: 0.75) == [0.75]
+    for bad in ([("", "x")], [("x", "")]):
+        with pytest.raises(ValueError, match="empty"):
+            qe.transquest_scores(bad, lambda p: [1.0])
+    with pytest.raises(ValueError, match="2 scores for 3"):
+        qe.transquest_scores(pairs, lambda p: [0.1, 0.2])
+
+
 def test_zip_and_pairs(spark):
     a = spark.createDataFrame([(1, "x", 7), (2, None, 8)], f"{NUMBER} long, message string, id int")
     b = spark.createDataFrame([(1, "xy", "q"), (2, "z", "q")], f"{NUMBER} long, message string, qe_label string")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from importlib import import_module
 
@@ -26,15 +26,37 @@ def _comet(model_name: str) -> Callable[[list[tuple[str, str]]], list[float]]:
     return lambda pairs: [float(s) for s in model.predict([{"src": a, "mt": b} for a, b in pairs], batch_size=8)["scores"]]
 
 
+def _transquest(model_name: str) -> Callable[[list[tuple[str, str]]], list[float]]:
+    """Kept, but not offered: `check_backend` turns it away. A model may return numbers or lists of one, for one pair or many."""
+    from transquest.algo.sentence_level.monotransquest.run_model import MonoTransQuestModel
+
+    model = MonoTransQuestModel("xlmroberta", model_name, use_cuda=False)
+    return lambda pairs: transquest_scores(pairs, model.predict)
+
+
+def transquest_scores(pairs: list[tuple[str, str]], predict: Callable[[list[list[str]]], object]) -> list[float]:
+    """A score a pair from whatever shape the model returns; an empty side, or another number of scores, is an error."""
+    if any(not a or not b for a, b in pairs):
+        raise ValueError("Source or translated text is empty.")
+    found = predict([list(p) for p in pairs])
+    if isinstance(found, tuple) and len(found) == 2 and len(pairs) != 2:  # scores and raw outputs
+        found = found[0]
+    flat = list(found) if isinstance(found, Iterable) else [found]
+    scores = [float(x[0]) if isinstance(x, Iterable) else float(x) for x in flat]
+    if len(scores) != len(pairs):
+        raise ValueError(f"{len(scores)} scores for {len(pairs)} pairs")
+    return scores
+
+
 #: Scorers of lists of (source, translation) pairs, by backend; a maker gets the model's name.
-_SCORERS: dict[str, Callable[[str], Callable[[list[tuple[str, str]]], list[float]]]] = {"comet": _comet}
+_SCORERS: dict[str, Callable[[str], Callable[[list[tuple[str, str]]], list[float]]]] = {"comet": _comet, "transquest": _transquest}
 
 
 def check_backend(name: str | None, model_name: str | None) -> None:
     if name in DISABLED:
         raise ValueError(f"quality backend {name!r} is disabled")
     if name != NATIVE and name not in _SCORERS and ":" not in (name or ""):
-        raise ValueError(f"unsupported quality backend {name!r}; there are {sorted([NATIVE, *_SCORERS])}")
+        raise ValueError(f"unsupported quality backend {name!r}; there are {sorted({NATIVE, *_SCORERS} - {*DISABLED})}")
     if name != NATIVE and not model_name:
         raise ValueError("a quality model name is required")
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.text import filled, strip
+from textloom.sources.store import written
 
 
 def require(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -19,10 +20,11 @@ def number(df: DataFrame, by: list[str | Column], name: str = "input_row_number"
     """Adds 1-based row numbers in the order of ``by``, without bringing rows to one task.
 
     A range-partitioned sort gives each partition its place; the sizes of those before come from a table of
-    as many rows as there are partitions.
+    as many rows as there are partitions. The sorted rows are written first, so that partitions that are
+    computed again after a loss can't be others than those that were counted.
     """
     part, place = F.spark_partition_id().alias("__part"), F.monotonically_increasing_id().alias("__place")
-    placed = df.orderBy(*by).select("*", part, place).persist()
+    placed = written(df.orderBy(*by).select("*", part, place), "numbered")
     sizes = placed.groupBy("__part").count().orderBy("__part").collect()
     starts, total = [], 0
     for r in sizes:
