@@ -60,3 +60,6 @@ def test_empty_and_repeated_rows(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [2.0, 0.0]), (1, [2.0, 0.0])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in ann.search(df, F.col("vec_id") % 20 == 0).collect()] == [(0, 1, 1, 2.0)]
     assert ann.search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+    many = [(0, [1.0, 0.5])] * 40 + [(i, [1.0, 0.0]) for i in range(1, 25) for _ in range(30)]
+    got = ann.search(spark.createDataFrame(many, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0).where("query_id = 0").orderBy("rank").collect()
+    assert [(r["rank"], r.vec_id) for r in got] == [(i, i) for i in range(1, 21)]

@@ -51,6 +51,12 @@ def test_more_than_eight_languages():
     assert all(own.predict(f"zz{chr(97 + k)}q" * 5)[0] == f"l{k:02d}" for k in range(20))
 
 
+def test_more_languages_than_a_word_has_bits():
+    words = {f"l{k:03d}": f"q{chr(97 + k // 26)}{chr(97 + k % 26)}x " * 5 for k in range(150)}
+    own = langid.build({name: langid.gram_hashes(langid.letters_of(t), 4) for name, t in words.items()})
+    assert own.masks.shape[1] == 3 and [own.predict(t)[0] for t in words.values()] == list(words)
+
+
 def test_edge_cases(spark):
     texts = ["the house and the garden", None, "", "123 ... !!", "das Haus und der Garten", "x", "haus " * 40_000, "the house and the garden"]
     rows = [(i, t, lang, "clash") for i, (t, lang) in enumerate(zip(texts, ["en", "en", None, "de", "de", None, None, "en"], strict=True))]

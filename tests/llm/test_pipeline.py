@@ -43,3 +43,17 @@ def test_nulls_repeats_and_empty(spark):
     assert tuple(scrubbed[1]) == (1, text, None, "s", 9)
     for _, stage in cp.STAGES:
         assert stage(spark, docs.limit(0), "").count() == 0
+
+
+def test_columns_of_any_name(spark):
+    extra = ["own", "keeps", "n", "lang_pred", "score", "spans", "base", "fp", "component_id", "first", "scrubbed", "a.b", "piece", "length", "__text", "key"]
+    rows = [(i, f"one two three four five six {w} eight nine secret=abcdefgh", "en", "s", 9, *range(len(extra))) for i, w in enumerate(["apple", "apple", "melon", "quite another thing this is"])]
+    docs = spark.createDataFrame(rows, COLUMNS + ", " + ", ".join(f"`{c}` int" for c in extra))
+    at = docs
+    for _, stage in cp.STAGES[:3]:
+        at = stage(spark, at, "")
+        assert at.schema.names == docs.columns
+        at = spark.createDataFrame(at.collect(), docs.schema)
+    got = {r.doc_id: r for r in at.collect()}
+    assert 1 not in got and got[0]["a.b"] == 11 and got[0].spans == 5 and got[0].text.endswith("nine [SECRET]")
+    assert cp.pack(spark, at, "").count() == len(got)

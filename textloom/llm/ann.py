@@ -117,17 +117,27 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & (F.size(vector) > 0) & finite & F.exists(vector, lambda x: x != 0)
 
 
+def _once(rows: pd.DataFrame) -> pd.DataFrame:
+    """Without repeats of a row; rows of one key are in one block."""
+    if rows["id"].is_unique:
+        return rows
+    parts = pd.DataFrame({"id": rows["id"], "v": rows["v"].map(lambda v: (np.asarray(v) + 0.0).tobytes())})
+    return rows[~parts.duplicated()]
+
+
 def search(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding", k: int = K, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score) of each query's k nearest other rows.
 
     Rows with a null key, or a vector that isn't `usable`, take no part; vectors of unlike length don't meet.
-    Of equal vectors only the k + 1 smallest keys can be among the nearest; the others are put aside
-    first, by a limit within the window that is applied before the shuffle too.
+    Ties go to the smaller key. Repeats of a row count once; rows that share a query's key are its own, and rows
+    of one key with unlike vectors are candidates each. Other columns, whatever their names, are left out; an
+    empty table gives no row. Of equal vectors only the k + 1 smallest keys can be among the nearest; the
+    others are put aside first, by a limit within the window that is applied before the shuffle too.
     """
     rows = df.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v"), is_query.alias("asks"))
     rows = materialize(rows.where(usable(F.col("v"))), "vectors")
     same = Window.partitionBy("v").orderBy("id")
-    base = materialize(rows.select("id", "v").withColumn("copy", F.row_number().over(same)).where(F.col("copy") <= k + 1).drop("copy"), "vectors-apart")
+    base = materialize(rows.select("id", "v").withColumn("copy", F.dense_rank().over(same)).where(F.col("copy") <= k + 1).drop("copy"), "vectors-apart")
     queries = rows.where("asks").select("id", "v")
     n_base, n_queries = blocks(base.count(), block_rows), blocks(queries.count(), query_rows)
 
@@ -141,6 +151,7 @@ def search(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "
     def meet(own: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple[np.ndarray, ...]] = []
         if len(own) and len(asked):
+            own = _once(own)
             ids, vectors = own["id"].to_numpy(), np.stack(own["v"].to_numpy())
             codes = Codes(vectors)
             query_ids = asked["id"].to_numpy()

@@ -26,8 +26,8 @@ ORDERS = (2, 3, 4)
 SLOT_BITS = 18
 #: An n-gram belongs to a language if it is at least this share as frequent there as where it is most frequent.
 KEEP_RATIO = 0.5
-#: Languages beyond this many (the rarest) get no filter, as a mask has 64 bits.
-LANGUAGES = 64
+#: Languages that get a filter, the most frequent ones; a mask has a bit for each. Bounds the model's memory.
+LANGUAGES = 256
 UNKNOWN = "und"
 _PIECE = 1 << 16
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -83,7 +83,10 @@ def pieces_of(text: str) -> Iterator[np.ndarray]:
 
 @dataclass
 class Filters:
-    """The learned masks. ``langs`` are in order; bit l of a mask is language l's."""
+    """The learned masks. ``langs`` are in order; bit l of a mask is language l's.
+
+    Up to eight languages share a byte a slot; beyond, a slot has a word for every 64 of them.
+    """
 
     langs: list[str]
     masks: np.ndarray
@@ -110,7 +113,7 @@ class Filters:
                     by_mask = np.bincount(masks.astype(np.uint8), minlength=256)
                     found += [int(by_mask[_HAS[lang]].sum()) for lang in range(len(self.langs))]
                 else:
-                    found += [int(np.count_nonzero(masks >> np.uint64(lang) & np.uint64(1))) for lang in range(len(self.langs))]
+                    found += [int(np.count_nonzero(masks[:, lang >> 6] >> np.uint64(lang & 63) & np.uint64(1))) for lang in range(len(self.langs))]
         return found, total
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -136,14 +139,14 @@ _HAS = [np.flatnonzero(np.arange(256) >> lang & 1) for lang in range(8)]
 def build(grams: dict[str, np.ndarray]) -> Filters:
     """Filters from each language's n-gram hashes."""
     langs = sorted(grams)
-    own = Filters(langs, np.zeros(1 << SLOT_BITS, np.uint8 if len(langs) <= 8 else np.uint64), np.zeros(len(langs)))
-    one = own.masks.dtype.type(1)
+    one_byte = len(langs) <= 8
+    masks = np.zeros(1 << SLOT_BITS, np.uint8) if one_byte else np.zeros((1 << SLOT_BITS, -(-len(langs) // 64)), np.uint64)
+    own = Filters(langs, masks, np.zeros(len(langs)))
     for k, lang in enumerate(langs):
+        column, bit = (masks, np.uint8(1 << k)) if one_byte else (masks[:, k >> 6], np.uint64(1 << (k & 63)))
         for slot in own.slots(grams[lang]):
-            own.masks[slot] |= one << own.masks.dtype.type(k)
-    for k in range(len(langs)):
-        fill = np.count_nonzero(own.masks >> own.masks.dtype.type(k) & one) / len(own.masks)
-        own.false_rate[k] = min(0.99, fill**2)
+            column[slot] |= bit
+        own.false_rate[k] = min(0.99, (np.count_nonzero(column & bit) / len(masks)) ** 2)
     return own
 
 
@@ -178,10 +181,9 @@ def fit(labelled: DataFrame, key: Column, text: str = "text", lang: str = "lang"
     top = F.max("share").over(Window.partitionBy("gram"))
     kept = share.withColumn("top", top).where(F.col("share") >= KEEP_RATIO * F.col("top"))
     ranked = kept.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("rank") <= grams)
-    found: dict[str, list[int]] = {r["lang"]: [] for r in sizes}
-    for r in ranked.select("lang", "gram").collect():
-        found[r["lang"]].append(r["gram"])
-    return build({name: np.array(values, np.int64).view(np.uint64) for name, values in found.items() if values})
+    learned = ranked.select("lang", "gram").toArrow()
+    names, values = learned.column("lang").to_numpy(), learned.column("gram").to_numpy().view(np.uint64)
+    return build({name: own for r in sizes if len(own := values[names == (name := r["lang"])])})
 
 
 def predict_column(df: DataFrame, filters: Filters, text: str = "text", carry: list[str] | None = None) -> DataFrame:
