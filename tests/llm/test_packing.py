@@ -99,8 +99,8 @@ def test_documents(spark):
     assert all(zlib.crc32(ids[s : s + n].tobytes()) == c for _, s, n, c in own)
     assert len(whole) == -(-sum(r.length for r in got) // 1024)
     assert pack_documents(df.limit(0), PATH, carry=["doc_id"]).count() == 0
-    with pytest.raises(ValueError):
-        pack(df.withColumn("offset", df.doc_id))
+    again = pack(df.select("doc_id", "length").withColumn("offset", df.doc_id))
+    assert again.columns == ["doc_id", "length", "sequence_id", "offset"] and again.count() == len(rows)
 
 
 def test_query(spark):

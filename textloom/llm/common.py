@@ -50,6 +50,11 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def kept(carry: list[str] | None, *own: str) -> list[str]:
+    """The columns to carry along: where a result has a column of its own of that name, its own is given."""
+    return [c for c in carry or [] if c not in own]
+
+
 def blocks(rows: int, per_block: int) -> int:
     """How many blocks of at most about ``per_block`` rows hold ``rows`` rows."""
     return max(1, -(-rows // per_block))

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textloom.llm.common import kept
+
 WIDTH = 64
 #: Rows of one frame; a payload beyond that goes on in the next frame.
 FRAME_ROWS = 1024
@@ -251,8 +253,12 @@ def payload_of(text: str, width: int = WIDTH) -> bytes:
 
 
 def with_media(df: DataFrame, text: str = "text", media: str = "media", carry: list[str] | None = None) -> DataFrame:
-    """The carried columns, ``n_bytes`` and a GIF column that stores the text's padded bytes; null text is empty."""
-    carry = carry or []
+    """The carried columns, ``n_bytes`` and a GIF column that stores the text's padded bytes, a row per row.
+
+    A null or empty text is 64 zero bytes; a long one goes on over more frames. Equal texts give equal images;
+    columns that aren't carried are left out whatever their names.
+    """
+    carry = kept(carry, "n_bytes", media)
     narrow = df.select(*carry, F.coalesce(F.col(text), F.lit("")).alias("__text"))
     schema = ", ".join([*(f"`{c}` {t}" for c, t in narrow.dtypes if c != "__text"), "n_bytes bigint", f"`{media}` binary"])
 
@@ -273,7 +279,7 @@ def gif_frames(df: DataFrame, media: str = "media", carry: list[str] | None = No
 
     A null, empty or damaged image gives no frame from the point of damage on.
     """
-    carry = carry or []
+    carry = kept(carry, "frame", "start_cs", "delay_cs", "disposal", "width", "height", "samples", "histogram")
     narrow = df.select(*carry, F.col(media).alias("__media"))
     schema = ", ".join([*(f"`{c}` {t}" for c, t in narrow.dtypes if c != "__media"), "frame int, start_cs bigint, delay_cs int, disposal int, width int, height int, samples binary, histogram array<bigint>"])
     names = [*carry, "frame", "start_cs", "delay_cs", "disposal", "width", "height", "samples", "histogram"]
@@ -303,7 +309,7 @@ def media_digest(df: DataFrame, media: str = "media", carry: list[str] | None =
     The feature is the grey histogram over all frames (shares of 255ths, hexadecimal), with the
     number of frames and the running time.
     """
-    carry = carry or []
+    carry = kept(carry, "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
     narrow = df.select(*carry, F.col(media).alias("__media"))
     schema = ", ".join([*(f"`{c}` {t}" for c, t in narrow.dtypes if c != "__media"), "payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"])
     names = [*carry, "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]

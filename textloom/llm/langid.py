@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textloom.llm.common import kept
+
 #: Labelled rows that the filters are learned from, per language, about: rows are taken by a hash, so the bound holds in expectation.
 SAMPLE_ROWS = 4000
 #: N-grams that one language's filter holds at most.
@@ -187,8 +189,13 @@ def fit(labelled: DataFrame, key: Column, text: str = "text", lang: str = "lang"
 
 
 def predict_column(df: DataFrame, filters: Filters, text: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """The carried columns with lang_pred and score, from the text alone."""
-    carry = carry or []
+    """The carried columns with lang_pred and score, from the text alone, a row per row.
+
+    A null text, and one without a letter, is ``und`` with score 0; so is every text if nothing was learned.
+    Texts count whole; of equal shares the first language by name wins. Equal texts get equal results; columns
+    that aren't carried are left out whatever their names.
+    """
+    carry = kept(carry, "lang_pred", "score")
     narrow = df.select(*carry, F.col(text).alias("__text"))
     schema = ", ".join([*(f"`{c}` {t}" for c, t in narrow.dtypes if c != "__text"), "lang_pred string, score double"])
     shipped = df.sparkSession.sparkContext.broadcast(pickle.dumps(filters))  # 2 ** SLOT_BITS masks at most

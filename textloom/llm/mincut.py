@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textloom.llm.common import kept
+
 #: Elements whose content is no text of the page, whatever stands in it.
 SKIPPED = frozenset("script style noscript template svg math iframe object canvas head title textarea select option datalist".split())
 #: Of these, elements whose content is not markup: only their own end tag ends them.
@@ -304,8 +306,13 @@ def main_text(source: str | None) -> str:
 
 
 def extract(df: DataFrame, source: str = "html", carry: list[str] | None = None) -> DataFrame:
-    """The carried columns with ``text`` and ``n_chars``. A null page is empty."""
-    carry = carry or []
+    """The carried columns with ``text`` and ``n_chars``, a row per row.
+
+    A null or empty page, and one of boilerplate alone, has an empty text. Pages are read whole at any length,
+    and damaged markup as far as it goes. Where both labels cost the same, a block is boilerplate. Repeated rows
+    give equal results; columns that aren't carried are left out whatever their names.
+    """
+    carry = kept(carry, "text", "n_chars")
     narrow = df.select(*carry, F.col(source).alias("__html"))
     schema = ", ".join([*(f"`{c}` {t}" for c, t in narrow.dtypes if c != "__html"), "text string, n_chars bigint"])
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import blocks, materialize
+from textloom.llm.common import blocks, kept, materialize
 
 TOKENS = 1024
 END_ID = 2
@@ -138,7 +138,7 @@ def cut(n: int, tokens: int) -> list[tuple[int, int]]:
 
 def token_pieces(df: DataFrame, tokenizer: str, tokens: int = TOKENS, text: str = "text", carry: list[str] | None = None) -> DataFrame:
     """A row per piece: carried columns, piece, start, length, ids_crc32. A null text has its end id alone."""
-    carry = carry or []
+    carry = kept(carry, "piece", "start", "length", "ids_crc32")
     narrow = df.select(*carry, F.coalesce(F.col(text), F.lit("")).alias("__text"))
     schema = ", ".join([*(f"`{c}` {t}" for c, t in narrow.dtypes if c != "__text"), "piece int, start bigint, length bigint, ids_crc32 bigint"])
     names = [*carry, "piece", "start", "length", "ids_crc32"]
@@ -159,13 +159,13 @@ def token_pieces(df: DataFrame, tokenizer: str, tokens: int = TOKENS, text: str
 
 
 def pack(pieces: DataFrame, capacity: Capacity = Capacity(), rank_rows: int = RANK_ROWS) -> DataFrame:
-    """Adds sequence_id and offset to rows with a ``length``. Read several times: materialise it first.
+    """Adds sequence_id and offset to rows with a ``length``, in place of columns of these names. Read several times:
+    materialise it first. Repeated rows get places of their own, and an empty table gives no row.
 
     Ranks within a length come from a number within small blocks of equal length and the sizes of
     the blocks before, so a length that most pieces share is still spread over all tasks.
     """
-    if clash := {"sequence_id", "offset", "__block", "__rank", "__before"} & set(pieces.columns):
-        raise ValueError(f"the input has columns named {sorted(clash)}")
+    pieces = pieces.drop("sequence_id", "offset")
     sizes = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most `tokens` rows
     plan = plan_bins(sizes, capacity)
     n_blocks = blocks(sum(sizes.values()), rank_rows)
@@ -192,5 +192,10 @@ def pack(pieces: DataFrame, capacity: Capacity = Capacity(), rank_rows: int = RA
 
 
 def pack_documents(df: DataFrame, tokenizer: str, capacity: Capacity = Capacity(), text: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """Tokenises, cuts and packs: a row per piece with its sequence and place."""
+    """Tokenises, cuts and packs: a row per piece with its sequence and place.
+
+    A null or empty text is one piece of its end id alone; texts of any length are cut, never shortened. Equal
+    and repeated rows are packed each on its own, null keys like any other. Columns that aren't carried are left
+    out whatever their names; an empty table gives no row.
+    """
     return pack(materialize(token_pieces(df, tokenizer, capacity.tokens, text, carry), "pieces"), capacity)

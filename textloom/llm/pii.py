@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import attach, materialize
+from textloom.llm.common import attach, kept, materialize
 from textloom.llm.spans import add_spans, count, listed, narrow, overlaps
 
 KINDS = ["email", "ip", "card", "phone", "ctx_email", "ctx_ip", "ctx_card", "ctx_phone"]
@@ -122,9 +122,11 @@ def bootstrap(graph: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, pa
 def find(df: DataFrame, text: str = "text", carry: list[str] | None = None, **options: float) -> DataFrame:
     """The carried columns, ``base`` (the fixed forms' spans) and ``spans`` (all), arrays of struct<start, kind, end>.
 
-    A null text is empty and has no spans. ``options`` go to `bootstrap`.
+    A row per row: a null or empty text has no spans, repeated rows have equal ones, and texts are searched whole.
+    Spans that begin alike come in the order of their kinds. Columns that aren't carried are left out whatever
+    their names; an empty table gives no row. ``options`` go to `bootstrap`.
     """
-    carry = carry or []
+    carry = kept(carry, "base", "spans")
     own = df.select(*(F.col(c).alias(f"__c{i}") for i, c in enumerate(carry)), F.coalesce(F.col(text), F.lit("")).alias("__text"))
     own = with_base(own, "__text")
     own = add_spans(own, "__text", "like", LIKE, BASE)

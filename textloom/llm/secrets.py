@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import materialize
+from textloom.llm.common import kept, materialize
 from textloom.llm.spans import add_spans, count, listed, narrow, overlaps
 
 KINDS = ["assign", "access", "hex", "random"]
@@ -96,9 +96,11 @@ def battery(value: Column) -> Column:
 def scan(df: DataFrame, text: str = "text", carry: list[str] | None = None, fdr: float = FDR) -> DataFrame:
     """The carried columns, ``base`` (spans of the fixed forms) and ``spans`` (all), arrays of struct<start, kind, end>.
 
-    A null text is empty and has no spans. Random strings that touch a base span are part of it.
+    A row per row: a null or empty text has no spans, repeated rows have equal ones, and texts are searched whole.
+    Spans that begin alike come in the order of their kinds; random strings that touch a base span are part of it.
+    Columns that aren't carried are left out whatever their names; an empty table gives no row.
     """
-    carry = carry or []
+    carry = kept(carry, "base", "spans")
     own = df.select(*(F.col(c).alias(f"__c{i}") for i, c in enumerate(carry)), F.coalesce(F.col(text), F.lit("")).alias("__text"))
     own = add_spans(own, "__text", "assign", ASSIGN, 0)
     own = add_spans(own, "__text", "access", ACCESS, 1, "AKIA")

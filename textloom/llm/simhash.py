@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import attach, materialize
+from textloom.llm.common import attach, kept, materialize
 from textloom.llm.components import components
 
 SEED = 42
@@ -193,7 +193,7 @@ def links(prints: DataFrame, size: int | None = None, list_rows: int = LIST_ROWS
 
 def fingerprints(df: DataFrame, text: str = "text", carry: list[str] | None = None, size: int = SHINGLE) -> DataFrame:
     """The carried columns and the fingerprint ``fp`` as a signed bigint. A null text is an empty one."""
-    carry = carry or []
+    carry = kept(carry, "fp")
     narrow = df.select(*carry, F.coalesce(F.col(text), F.lit("")).alias("__text"))
     schema = ", ".join([*(f"`{c}` {t}" for c, t in narrow.dtypes if c != "__text"), "fp bigint"])
 
@@ -208,8 +208,10 @@ def fingerprints(df: DataFrame, text: str = "text", carry: list[str] | None = No
 def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", list_rows: int = LIST_ROWS) -> DataFrame:
     """A row per row of ``df``: the key, its fingerprint in hexadecimal, and the smallest key reachable by links.
 
-    Equal fingerprints are one node; rows with a null key are members, but name no component unless
-    it has no other.
+    A null, empty or blank text has fingerprint zero, and such texts link like any other; a bit that half the
+    shingles have is 0. Equal fingerprints are one node, so repeated rows are members of one component. Rows with a
+    null key are members too, but name no component unless it has no other. Columns besides text and key are
+    left out whatever their names; an empty table gives no row.
     """
     prints = materialize(fingerprints(df, text, [key]).withColumnRenamed(key, "__key"), "fingerprints")
     nodes = materialize(prints.groupBy("fp").agg(F.min("__key").alias("least"), F.count("*").alias("n")), "nodes")

@@ -174,9 +174,13 @@ def record_at(archive: bytes, offset: int, length: int) -> Record:
 def with_dedup(pages: DataFrame, payload: str = "html", key: str = "page_id") -> DataFrame:
     """Adds the payload's SHA-1 (``sha1``, hexadecimal) and the largest key among equal payloads (``winner``).
 
+    A null payload is an empty one. Repeats of the row with the largest key are winners each; a null key is smaller
+    than any other, and wins only among null keys. Columns named ``sha1`` or ``winner`` are replaced.
+
     Winners are aggregated on the map side first, so one payload that fills a third of the table
     sends a row a task; payloads are dealt out once, hot ones by the row and not by the digest.
     """
+    pages = pages.drop("sha1", "winner")
     marked = pages.withColumn("sha1", F.sha1(F.coalesce(F.col(payload), F.lit("")).cast("binary")))
     facts = materialize(marked.groupBy("sha1").agg(F.max(key).alias("winner"), F.count("*").alias("n")), "winners")
     return attach(marked, facts, "sha1", "winner", "n", F.xxhash64(*pages.columns))
