@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 #: Words whose encodings a worker keeps; the store is emptied when full, so memory is bounded on any text.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 800_000
 #: Neighbours whose compatibility a worker keeps.
 KEPT_PAIRS = 1_000_000
 #: Longer words aren't kept.
@@ -30,6 +31,22 @@ KEPT_LENGTH = 64
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 
+class _Words(dict):
+    """Encodings by word, made when first asked for. Emptied when full."""
+
+    def __init__(self, make: Callable[[str], list[int]]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, word: str) -> list[int]:
+        own = self.make(word)
+        if len(word) <= KEPT_LENGTH:
+            if len(self) >= KEPT_WORDS:
+                self.clear()
+            self[word] = own
+        return own
+
+
 class PieceModel:
     """A merge-type model with byte fallback and the identity normaliser."""
 
@@ -67,7 +84,9 @@ class PieceModel:
         whole = {s for s in self.ids if len(s) == 1 or self.merge(s) == [s]}
         self.automaton = ahocorasick.Automaton()
         for s in whole:
-            self.automaton.add_word(s, self.ids[s])
+            if len(s) > 1:
+                self.automaton.add_word(s, self.ids[s])
+        self.letter = {s: self.ids[s] for s in whole if len(s) == 1}
         self.automaton.make_automaton()
         self.lengths = [len(s) for s in self.strings]
         #: By id: the longest piece that is a shorter prefix, or -1.
@@ -75,7 +94,11 @@ class PieceModel:
         for s in whole:
             self.shorter[self.ids[s]] = next((self.ids[s[:k]] for k in range(len(s) - 1, 0, -1) if s[:k] in whole), -1)
         self.pairs: dict[int, bool] = {}
-        self.kept: dict[str, list[int]] = {}
+        self.shift = len(self.strings).bit_length()
+        self.kept = _Words(self.encode_word)
+        #: Ids whose text depends on their neighbours: parts of a character of several bytes, and the unknown id.
+        self.odd = frozenset(i for i, b in self.of_byte.items() if b[0] >= 128) | {self.unknown}
+        self.shown = [self.of_byte[i].decode("latin-1") if k == BYTE else "" if k == CONTROL else p for i, (p, k) in enumerate(zip(self.strings, self.kinds, strict=True))]
 
     def merge(self, text: str) -> list[str]:
         """Best pair first, leftmost of equals: the definition, for texts as short as two pieces."""
@@ -96,34 +119,34 @@ class PieceModel:
         if len(self.pairs) >= KEPT_PAIRS:
             self.pairs.clear()
         own = [self.strings[a], self.strings[b]]
-        known = self.pairs[a << 32 | b] = self.merge("".join(own)) == own
+        known = self.pairs[a << self.shift | b] = self.merge("".join(own)) == own
         return known
 
     def segment(self, word: str) -> list[int]:
         """The ids of a run of letters that the model knows."""
-        n, lengths, shorter, pairs = len(word), self.lengths, self.shorter, self.pairs.get
-        longest = [-1] * n
-        for end, piece in self.automaton.iter(word):  # later matches at a place are longer
-            longest[end + 1 - lengths[piece]] = piece
+        n, lengths, shorter, pairs, shift = len(word), self.lengths, self.shorter, self.pairs.get, self.shift
+        longest = list(map(self.letter.__getitem__, word))  # every letter is a piece
+        for last, piece in self.automaton.iter(word):  # later matches at a place are longer
+            longest[last + 1 - lengths[piece]] = piece
         failed = 0  # bit i: no way leads from place i on
         path: list[int] = []
         at, before, piece = 0, -1, longest[0]
         while True:
             while piece >= 0:
-                if not failed >> at + lengths[piece] & 1:
+                end = at + lengths[piece]
+                if not failed or not failed >> end & 1:
                     if before < 0:
                         break
-                    fits = pairs(before << 32 | piece)
+                    fits = pairs(before << shift | piece)
                     if fits or fits is None and self.compatible(before, piece):
                         break
                 piece = shorter[piece]
             if piece >= 0:
                 path.append(piece)
-                at += lengths[piece]
-                if at == n:
+                if end == n:
                     return path
-                before, piece = piece, longest[at]
-            else:  # every letter is a piece, so a way exists and the path isn't empty
+                at, before, piece = end, piece, longest[end]
+            else:  # a way exists, so the path isn't empty
                 failed |= 1 << at
                 piece = path.pop()
                 at -= lengths[piece]
@@ -136,24 +159,16 @@ class PieceModel:
 
     def encode(self, text: str, end: bool = True) -> list[int]:
         """Ids of a text, the end id last if wanted; an empty text has no other id."""
-        ids: list[int] = []
-        kept = self.kept
-        if text:
-            for word in self.words.findall(self.prefix + text.replace(" ", SPACE)):
-                own = kept.get(word)
-                if own is None:
-                    own = self.encode_word(word)
-                    if len(word) <= KEPT_LENGTH:
-                        if len(kept) >= KEPT_WORDS:
-                            kept.clear()
-                        kept[word] = own
-                ids += own
+        words = self.words.findall(self.prefix + text.replace(" ", SPACE)) if text else []
+        ids = list(chain.from_iterable(map(self.kept.__getitem__, words)))
         if end:
             ids.append(self.end_id)
         return ids
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: control ids are nothing, bytes that are no UTF-8 become U+FFFD each, and the prefix goes."""
+        if self.odd.isdisjoint(ids):
+            return "".join(map(self.shown.__getitem__, ids)).removeprefix(self.prefix).replace(SPACE, " ")
         of_byte, strings, special = self.of_byte, self.strings, self.special
         parts: list[str] = []
         held, begun = b"", not self.prefix
