@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from textloom.functions.text import SPACE
+from textloom.functions.text import SPACE, bound
 
 # The Unicode standard's code points with the property Emoji, but for digits, # and *.
 PICTURE = (
@@ -31,7 +31,10 @@ PICTURE = (
     r"\x{1FADF}-\x{1FAE9}\x{1FAF0}-\x{1FAF8}"
 )
 _ONE = rf"[{PICTURE}]\x{{FE0F}}?[\x{{1F3FB}}-\x{{1F3FF}}]?(?:[\x{{E0020}}-\x{{E007E}}]+\x{{E007F}})?"
-EMOJI = rf"[\x{{1F1E6}}-\x{{1F1FF}}]{{2}}|[0-9#*]\x{{FE0F}}?\x{{20E3}}|{_ONE}(?:\x{{200D}}{_ONE})*+"
+#: What an emoji can begin with, roughly: a few ranges that rule out most characters at once.
+_AHEAD = r"(?=[#*0-9\x{A9}\x{AE}\x{203C}-\x{3299}\x{1F004}-\x{1FAF8}])"
+EMOJI = rf"{_AHEAD}(?:[\x{{1F1E6}}-\x{{1F1FF}}]{{2}}|[0-9#*]\x{{FE0F}}?\x{{20E3}}|{_ONE}(?:\x{{200D}}{_ONE})*+)"
+_REPLACEMENTS = "array<struct<token:string,emoji:string,glue_left:boolean,glue_right:boolean>>"
 
 
 def contains_emoji(text: Column) -> Column:
@@ -44,29 +47,29 @@ def mask(text: Column) -> Column:
     A replacement says which emoji it stands for and whether it touched its neighbours. White space is
     collapsed only where an emoji was found.
     """
-    found = F.regexp_extract_all(text, F.lit(EMOJI), F.lit(0))
-    pieces = F.split(text, EMOJI, -1)
-    tokens = F.transform(found, lambda e, i: F.concat(F.lit("__EMOJI_"), i.cast("string"), F.lit("__")))
-    spaced = F.concat(F.transform(tokens, lambda t: F.concat(F.lit(" "), t, F.lit(" "))), F.array(F.lit("")))
+    plain = lambda t: F.struct(t.alias("masked_text"), F.array().cast(_REPLACEMENTS).alias("replacements"), F.lit(False).alias("contains_emoji"))
+    parts = lambda t: F.struct(F.regexp_extract_all(t, F.lit(EMOJI), F.lit(0)).alias("found"), F.split(t, EMOJI, -1).alias("pieces"))
+    return bound(text, lambda t: F.when(contains_emoji(t), bound(parts(t), lambda p: _masked(p["found"], p["pieces"]))).otherwise(plain(t)))
+
+
+def _masked(found: Column, pieces: Column) -> Column:
+    """The struct that `mask` gives, of a text's emoji (at least one) and what lies around them."""
+    token = lambda i: F.concat(F.lit("__EMOJI_"), i.cast("string"), F.lit("__"))
+    spaced = F.concat(F.transform(found, lambda _, i: F.concat(F.lit(" "), token(i), F.lit(" "))), F.array(F.lit("")))
     whole = F.array_join(F.zip_with(pieces, spaced, lambda a, b: F.concat(a, b)), "")
-    tidy = F.regexp_replace(F.regexp_replace(F.regexp_replace(whole, f"[{SPACE}]+", " "), "^ ", ""), " $", "")
-    touches = f"[^{SPACE}]"
+    tidy = F.btrim(F.regexp_replace(whole, f"[{SPACE}]+", " "), F.lit(" "))
 
     def left(i: Column) -> Column:
         # An empty piece between two emoji still means that they touch; at the start there is no neighbour.
         piece = F.get(pieces, i)
-        return F.when(piece == "", i > 0).otherwise(piece.rlike(f"(?s){touches}$") & ~piece.rlike(f"[{SPACE}]\\z"))
+        return F.when(piece == "", i > 0).otherwise(~F.right(piece, F.lit(1)).rlike(f"[{SPACE}]"))
 
     def right(i: Column) -> Column:
         piece = F.get(pieces, i + 1)
-        return F.when(piece == "", i + 1 < F.size(found)).otherwise(piece.rlike(f"\\A{touches}"))
-
-    replacements = F.transform(
-        F.arrays_zip(tokens.alias("token"), found.alias("emoji")),
-        lambda r, i: F.struct(r["token"].alias("token"), r["emoji"].alias("emoji"), left(i).alias("glue_left"), right(i).alias("glue_right")),
-    )
-    any_found = F.size(found) > 0
-    return F.struct(F.when(any_found, tidy).otherwise(text).alias("masked_text"), replacements.alias("replacements"), any_found.alias("contains_emoji"))
+        return F.when(piece == "", i + 1 < F.size(found)).otherwise(~F.left(piece, F.lit(1)).rlike(f"[{SPACE}]"))
+
+    replacements = F.transform(found, lambda e, i: F.struct(token(i).alias("token"), e.alias("emoji"), left(i).alias("glue_left"), right(i).alias("glue_right")))
+    return F.struct(tidy.alias("masked_text"), replacements.alias("replacements"), F.lit(True).alias("contains_emoji"))
 
 
 def unmask(text: Column, replacements: Column) -> Column:

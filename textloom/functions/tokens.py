@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from textloom.functions.text import strip, words
+from textloom.functions.text import bound, strip, words
 
 
 def token_count(text: Column) -> Column:
@@ -30,28 +30,30 @@ def windows(tokens: Column, limit: int, overlap: int = 0) -> Column:
     The last window is the first that reaches the end.
     """
     check_window(limit, overlap)
-    n, step = F.size(tokens), limit - overlap
-    last = F.greatest(F.lit(0), F.ceil((n - limit) / step).cast("int"))
-    cut = F.transform(
-        F.sequence(F.lit(0), last),
-        lambda i: F.struct(
-            F.array_join(F.slice(tokens, i * step + 1, F.lit(limit)), " ").alias("text"),
-            (i * step).cast("int").alias("start"),
-            F.least(n, i * step + limit).cast("int").alias("end"),
-        ),
-    )
-    return F.filter(cut, lambda w: (w["text"] != "") | (n == 0))
+    step = limit - overlap
+
+    def cut(own: Column) -> Column:
+        last = F.greatest(F.lit(0), F.ceil((F.size(own) - limit) / step).cast("int"))
+        return F.transform(
+            F.sequence(F.lit(0), last),
+            lambda i: F.struct(
+                F.array_join(F.slice(own, i * step + 1, F.lit(limit)), " ").alias("text"),
+                (i * step).cast("int").alias("start"),
+                F.least(F.size(own), i * step + limit).cast("int").alias("end"),
+            ),
+        )
+
+    return bound(tokens, lambda own: F.filter(cut(own), lambda w: (w["text"] != "") | (F.size(own) == 0)))
 
 
 def window_count(tokens: Column, limit: int, overlap: int = 0) -> Column:
     check_window(limit, overlap)
-    n = F.size(tokens)
-    return F.when(n <= limit, 1).otherwise(F.ceil((n - overlap) / (limit - overlap))).cast("int")
+    return bound(F.size(tokens), lambda n: F.when(n <= limit, 1).otherwise(F.ceil((n - overlap) / (limit - overlap))).cast("int"))
 
 
 def hard_split(tokens: Column, limit: int) -> Column:
     """Windows without overlap, none for no tokens."""
-    return F.when(F.size(tokens) > 0, windows(tokens, limit)).otherwise(F.slice(windows(tokens, limit), 1, 0))
+    return F.filter(windows(tokens, limit), lambda w: w["end"] > 0)
 
 
 def merge_plain(chunks: Column) -> Column:

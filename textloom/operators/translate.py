@@ -26,9 +26,13 @@ _BUILT_IN = ("echo", "forgetful")
 _OUTCOME = T.StructType().add("raw", T.StringType()).add("said", T.StringType()).add("why", T.StringType()).add("was_chunked", T.BooleanType()).add("chunk_count", T.IntegerType())
 
 
+def native_count(config: Config) -> bool:
+    return config.model_name in _BUILT_IN or config.model_name is None
+
+
 def counted(text: Column, config: Config) -> Column:
     """Tokens by the model's tokenizer; the built-in models' are an expression."""
-    if config.model_name in _BUILT_IN or config.model_name is None:
+    if native_count(config):
         return token_count(text)
     name, options = config.model_name, (config.device, config.max_new_tokens, config.num_beams)
 
@@ -46,6 +50,8 @@ def prepare(df: DataFrame, config: Config) -> DataFrame:
     own = drop_blank(df, text).withColumn("__mask", mask(F.col(text)))
     own = own.withColumn("masked", F.col("__mask.masked_text")).withColumn("replacements", F.col("__mask.replacements")).withColumn("flag_contains_emoji", F.col("__mask.contains_emoji")).drop("__mask")
     own = own.withColumn("token_count", counted(F.col("masked"), config))
+    if not native_count(config):
+        own = written(own, "counted")  # the model's tokenizer runs once, though several branches read its counts
     cap = config.max_translate_tokens
     own = own.withColumns({
         "too_long_for_model": F.col("token_count") > config.max_input_length,
