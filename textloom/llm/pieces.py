@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textloom.llm.common import kept
+
 SPACE = "▁"
 #: Words whose encodings a worker keeps; the store is emptied when full, so memory is bounded on any text.
 KEPT_WORDS = 800_000
@@ -218,8 +220,12 @@ def load(path: str) -> PieceModel:
 
 
 def encode_column(df: DataFrame, model: str, text: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """The carried columns and ``ids``, the end id last. A null text is an empty one."""
-    carry = carry or []
+    """The carried columns and ``ids``, the end id last, a row per row.
+
+    A null text is an empty one, which has its end id alone. Texts are encoded whole at any length, equal texts alike;
+    columns that aren't carried are left out whatever their names.
+    """
+    carry = kept(carry, "ids")
     narrow = df.select(*carry, F.coalesce(F.col(text), F.lit("")).alias("__text"))
     schema = ", ".join([*(f"`{c}` {t}" for c, t in narrow.dtypes if c != "__text"), "ids array<int>"])
 
@@ -234,7 +240,7 @@ def encode_column(df: DataFrame, model: str, text: str = "text", carry: list[str
 
 def decode_column(df: DataFrame, model: str, ids: str = "ids", carry: list[str] | None = None) -> DataFrame:
     """The carried columns and the decoded ``text``; null ids give an empty text."""
-    carry = carry or []
+    carry = kept(carry, "text")
     narrow = df.select(*carry, F.col(ids).alias("__ids"))
     schema = ", ".join([*(f"`{c}` {t}" for c, t in narrow.dtypes if c != "__ids"), "text string"])
 
@@ -249,7 +255,7 @@ def decode_column(df: DataFrame, model: str, ids: str = "ids", carry: list[str]
 
 def encoding_digest(df: DataFrame, model: str, text: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Per text: n_tokens, and digests of its ids and of the text decoded from them."""
-    carry = carry or []
+    carry = kept(carry, "n_tokens", "ids_sha256", "decoded_sha256")
     narrow = df.select(*carry, F.coalesce(F.col(text), F.lit("")).alias("__text"))
     schema = ", ".join([*(f"`{c}` {t}" for c, t in narrow.dtypes if c != "__text"), "n_tokens bigint, ids_sha256 string, decoded_sha256 string"])
     names = [*carry, "n_tokens", "ids_sha256", "decoded_sha256"]
