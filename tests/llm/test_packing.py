@@ -15,6 +15,8 @@ from textloom.llm.queries import op9_best_fit_packing
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 HF = Tokenizer.from_file(PATH)
 HF.encode_special_tokens = True
+#: As the file has it.
+PLAIN = Tokenizer.from_file(PATH)
 
 
 @settings(max_examples=150, deadline=None)
@@ -28,6 +30,27 @@ def test_long_and_special_texts():
         assert token_ids(text, PATH).tolist() == [*HF.encode(text, add_special_tokens=False).ids, 2]
 
 
+ADDED = ["a<|endoftext|>b", "<|endoftext|>", "<|endoftext|><|endoftext|>", " x <|endoftext|>  y\n<|endoftext|", "é🔥<|endoftext|> don't <|ENDOFTEXT|>"]
+
+
+def test_added_tokens_against_the_unmodified_library(spark):
+    assert token_ids("a<|endoftext|>b", PATH, added=True).tolist() == [64, 50256, 65, 2]
+    for text in [*ADDED, "", "no such token"]:
+        assert token_ids(text, PATH, added=True).tolist() == [*PLAIN.encode(text, add_special_tokens=False).ids, 2]
+    got = pack_documents(spark.createDataFrame(list(enumerate(ADDED)), "doc_id long, text string"), PATH, carry=["doc_id"]).collect()
+    for r in got:
+        ids = np.array([*PLAIN.encode(ADDED[r.doc_id], add_special_tokens=False).ids, 2], "<u4")
+        assert (r.length, r.ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
+    assert len(got) == len(ADDED)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", " ", "\n", "a", "1", "é", "'s", "<"]), max_size=20))
+def test_added_tokens_anywhere(parts):
+    text = "".join(parts)
+    assert token_ids(text, PATH, added=True).tolist() == [*PLAIN.encode(text, add_special_tokens=False).ids, 2]
+
+
 def test_cut():
     assert cut(1, 4) == [(0, 1)] and cut(4, 4) == [(0, 4)] and cut(9, 4) == [(0, 1), (1, 4), (5, 4)]
 

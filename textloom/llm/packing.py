@@ -8,6 +8,7 @@ bins; every piece then finds its place from its rank, without any other piece be
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -110,7 +111,7 @@ def plan_bins(histogram: dict[int, int], capacity: Capacity = Capacity()) -> Pla
 def byte_level_encoder(path: str):
     """The byte-level BPE of a tokenizers file, run by tiktoken, which gives the same ids several times as fast.
 
-    Strings of special tokens in a text are ordinary text.
+    Strings of added tokens in a text are ordinary text here; `token_ids` splits at them.
     """
     import tiktoken
 
@@ -123,9 +124,28 @@ def byte_level_encoder(path: str):
     return tiktoken.Encoding("byte-level", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-def token_ids(text: str, path: str, end_id: int = END_ID) -> np.ndarray:
-    """A document's ids, its end id last, as little-endian unsigned 32-bit numbers."""
-    ids = byte_level_encoder(path).encode_ordinary(text)
+@lru_cache(2)
+def added_tokens(path: str) -> tuple[re.Pattern[str] | None, dict[str, int]]:
+    """What splits a text at the file's added tokens (of two that begin alike the longer), and their ids."""
+    with open(path, encoding="utf-8") as f:
+        found = json.load(f)["added_tokens"]
+    if any(t[flag] for t in found for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("added tokens that take more or less than their own letters aren't supported")
+    ids = {t["content"]: t["id"] for t in found}
+    return re.compile(f"({'|'.join(map(re.escape, sorted(ids, key=len, reverse=True)))})") if ids else None, ids
+
+
+def token_ids(text: str, path: str, end_id: int = END_ID, added: bool = False) -> np.ndarray:
+    """A document's ids, its end id last, as little-endian unsigned 32-bit numbers.
+
+    With ``added``, a string of the file's added tokens is that token, as the tokenizers library has it by
+    default; else it is ordinary text (the library's ``encode_special_tokens``).
+    """
+    encoder = byte_level_encoder(path)
+    splits, ids_of = added_tokens(path) if added else (None, {})
+    ids: list[int] = []
+    for k, part in enumerate(splits.split(text) if splits else [text]):
+        ids += [ids_of[part]] if k % 2 else encoder.encode_ordinary(part)
     ids.append(end_id)
     return np.array(ids, "<u4")
 
@@ -137,7 +157,10 @@ def cut(n: int, tokens: int) -> list[tuple[int, int]]:
 
 
 def token_pieces(df: DataFrame, tokenizer: str, tokens: int = TOKENS, text: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """A row per piece: carried columns, piece, start, length, ids_crc32. A null text has its end id alone."""
+    """A row per piece: carried columns, piece, start, length, ids_crc32. A null text has its end id alone.
+
+    Ids are the tokenizers library's, added tokens in the text included.
+    """
     carry = kept(carry, "piece", "start", "length", "ids_crc32")
     narrow = df.select(*carry, F.coalesce(F.col(text), F.lit("")).alias("__text"))
     schema = ", ".join([*(f"`{c}` {t}" for c, t in narrow.dtypes if c != "__text"), "piece int, start bigint, length bigint, ids_crc32 bigint"])
@@ -148,7 +171,7 @@ def token_pieces(df: DataFrame, tokenizer: str, tokens: int = TOKENS, text: str
         for batch in batches:
             rows, found = [], []
             for i, value in enumerate(batch.column(len(carry))):
-                ids = token_ids(value.as_py(), tokenizer)
+                ids = token_ids(value.as_py(), tokenizer, added=True)
                 for piece, (start, length) in enumerate(cut(len(ids), tokens)):
                     rows.append(i)
                     found.append((piece, start, length, zlib.crc32(ids[start : start + length].tobytes())))
