@@ -16,13 +16,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.common import kept, materialize
-from textloom.llm.spans import add_spans, count, listed, narrow, overlaps
+from textloom.llm.spans import add_spans, count, listed, narrow
 
 KINDS = ["assign", "access", "hex", "random"]
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-STRING = r"[A-Za-z0-9+/_-]{20,}"
+#: Symbols that a string of no known form has at least.
+LEAST = 20
+STRING = rf"[A-Za-z0-9+/_-]{{{LEAST},}}"
 
 #: Share of false ones among the random strings reported, at most, in expectation.
 FDR = 0.01
@@ -93,11 +95,31 @@ def battery(value: Column) -> Column:
     return F.element_at(F.transform(F.array(alphabet), lambda a: F.when(a.isNotNull(), tested(a))), 1)
 
 
+def remaining(span: Column, base: Column) -> Column:
+    """The parts of a string outside all base spans, as spans with values; parts of fewer than LEAST symbols are left out.
+
+    ``base`` is sorted by start.
+    """
+    none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
+
+    def until(s: Column, end: Column) -> Column:
+        value = F.substring(span["value"], s["at"] - span["start"] + 1, end - s["at"])
+        part = F.struct(s["at"].alias("start"), span["kind"].alias("kind"), end.alias("end"), value.alias("value"))
+        return F.when(end - s["at"] >= LEAST, F.concat(s["out"], F.array(part))).otherwise(s["out"])
+
+    def step(s: Column, own: Column) -> Column:
+        return F.struct(F.greatest(s["at"], own["end"]).alias("at"), until(s, own["start"]).alias("out"))
+
+    covering = F.filter(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+    return F.aggregate(covering, F.struct(span["start"].alias("at"), none.alias("out")), step, lambda s: until(s, span["end"]))
+
+
 def scan(df: DataFrame, text: str = "text", carry: list[str] | None = None, fdr: float = FDR) -> DataFrame:
     """The carried columns, ``base`` (spans of the fixed forms) and ``spans`` (all), arrays of struct<start, kind, end>.
 
     A row per row: a null or empty text has no spans, repeated rows have equal ones, and texts are searched whole.
-    Spans that begin alike come in the order of their kinds; random strings that touch a base span are part of it.
+    Spans that begin alike come in the order of their kinds. Base spans are cut out of each string of no known form,
+    and every part of 20 symbols or more that remains is tested by itself.
     Columns that aren't carried are left out whatever their names; an empty table gives no row.
     """
     carry = kept(carry, "base", "spans")
@@ -108,7 +130,8 @@ def scan(df: DataFrame, text: str = "text", carry: list[str] | None = None, fdr:
     own = add_spans(own, "__text", "string", STRING, 3)
     assigned = F.filter("assign", lambda s: F.length(F.regexp_extract(s["value"], ASSIGN, 1)) >= 6)
     own = own.withColumn("base", narrow(F.concat(assigned, F.col("access"), F.col("hex"))))
-    tested = F.transform(F.filter("string", lambda s: ~overlaps(s, F.col("base"))), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), battery(s["value"]).alias("test")))
+    parts = F.flatten(F.transform("string", lambda s: remaining(s, F.col("base"))))
+    tested = F.transform(parts, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), battery(s["value"]).alias("test")))
     own = own.withColumn("tested", F.filter(tested, lambda s: s["test"].isNotNull()))
     carried = [F.col(f"__c{i}") for i in range(len(carry))]
     scanned = materialize(own.select(*carried, "base", "tested"), "secrets")
