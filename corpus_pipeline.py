@@ -23,13 +23,16 @@ def anonymous(docs: DataFrame) -> tuple[DataFrame, list[str], dict[str, str]]:
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of no recognisable language (null texts, and those without a letter).
 
-    The filters are learned from the stage's own input, held-out documents apart. Repeated rows stay as
+    The filters are learned from the stage's own input, held-out documents apart. If these leave nothing to learn
+    from (no language given, say), texts with a letter all stay. Repeated rows stay as
     often as they come, and other columns, of any name, stay as they are; no input gives no output.
     """
     bounded_batches(spark)
     own, names, of = anonymous(docs)
     key, text = F.col(of["doc_id"]), of["text"]
     filters = langid.fit(own.where(~langid.held_out(key)), key, text, of["lang"])
+    if not filters.langs:
+        return langid.lettered(own, text).toDF(*docs.columns)
     marked = langid.predict_column(own, filters, text, carry=names)
     return marked.where(F.col("lang_pred") != langid.UNKNOWN).select(*names).toDF(*docs.columns)
 

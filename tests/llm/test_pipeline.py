@@ -1,3 +1,5 @@
+import zlib
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
@@ -45,6 +47,16 @@ def test_nulls_repeats_and_empty(spark):
         assert stage(spark, docs.limit(0), "").count() == 0
 
 
+def test_nothing_to_learn_a_language_from(spark):
+    apart = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 4 == 2)
+    texts = ["clean words", "é", "x1", "clean words", "123 !", "", None, "7 " * 70_000 + "ü"]
+    for lang, ids in ((None, range(len(texts))), ("en", [apart] * len(texts))):
+        rows = [(i, t, lang, "s", 9) for i, t in zip(ids, texts, strict=True)]
+        got = cp.identify(spark, spark.createDataFrame(rows, COLUMNS), "")
+        assert got.schema.names == [c.split()[0] for c in COLUMNS.split(", ")]
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted((r for r in rows if any(c.isalpha() for c in r[1] or "")), key=repr)
+
+
 def test_columns_of_any_name(spark):
     extra = ["own", "keeps", "n", "lang_pred", "score", "spans", "base", "fp", "component_id", "first", "scrubbed", "a.b", "piece", "length", "__text", "key"]
     rows = [(i, f"one two three four five six {w} eight nine secret=abcdefgh", "en", "s", 9, *range(len(extra))) for i, w in enumerate(["apple", "apple", "melon", "quite another thing this is"])]

@@ -209,6 +209,17 @@ def predict_column(df: DataFrame, filters: Filters, text: str = "text", carry: l
     return narrow.mapInArrow(run, schema)
 
 
+def lettered(df: DataFrame, text: str = "text") -> DataFrame:
+    """The rows whose text has a letter, by the same letters as the prediction; a null text has none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [any((p != 32).any() for p in pieces_of(t.as_py() or "")) for t in batch.column(text)]
+            yield batch.filter(pa.array(found, pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether a document is kept from learning: crc32 of its id as text is 2 modulo 4. A null id counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(4)) == 2
