@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from textloom.config import Config
 from textloom.functions import emoji, text, tokens
-from textloom.functions.merge import merge_fuzzy_column
+from textloom.functions.merge import with_merged
 from textloom.operators import combine, metrics, qe, rows, validate
 from textloom.operators.translate import NUMBER, prepare, translate
 from textloom.plans import tools
@@ -79,7 +79,8 @@ def _outside(x: str, protected: str, change: str) -> str:
 def _url(x: str) -> str:
     low = f"lower({_strip(x)})"
     hits = lambda parts: " + ".join(f"CAST(contains({low}, '{p}') AS INT)" for p in parts)
-    return f"({low} <> '' AND NOT contains({low}, ' ') AND (starts_with({low}, 'http') OR starts_with({low}, 'www') OR (length({low}) >= 20 AND {hits('com org net edu gov io co uk de fr pl jp ru cn html'.split())} >= 2) OR (length({low}) >= 25 AND {hits('html www http https login account verify'.split())} >= 2)))"
+    starts = " OR ".join(f"starts_with({low}, '{p}')" for p in text.URL_PREFIXES)
+    return f"({low} <> '' AND NOT contains({low}, ' ') AND ({starts} OR (length({low}) >= 20 AND {hits(text.URL_DOMAINS)} >= 2) OR (length({low}) >= 25 AND {hits(text.URL_MARKERS)} >= 2)))"
 
 
 _ANGLE, _PROTECTED = "<[A-Z_]+>", "<[A-Z_]+>|__EMOJI_[0-9]+__"
@@ -277,10 +278,15 @@ def merge_exact_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(tokens.merge_exact(cut)).alias("digest"))
 
 
-@query()
+# Where words repeat exactly at a seam, the longest such overlap of up to 30 words scores above every inexact one, so
+# windows that overlap by 20 words have an SQL of their merge. Inexact overlaps are tested against a definition in Python.
+@query(f"""WITH RECURSIVE cut AS (SELECT doc_id, i, w[i * 140 + 1 : i * 140 + 160] AS part FROM (SELECT doc_id, w, unnest(range(0, 1 + greatest(0, CAST(ceil((len(w) - 160) / 140.0) AS INT)))) AS i FROM (SELECT doc_id, {_words('text')} AS w FROM documents))),
+    fold AS (SELECT doc_id, i, part AS merged FROM cut WHERE i = 0 UNION ALL
+        SELECT f.doc_id, c.i, list_concat(f.merged, c.part[coalesce(list_max(list_filter(range(5, 1 + least(30, len(f.merged), len(c.part))), lambda k: f.merged[-k:] = c.part[:k])), 0) + 1 :]) FROM fold f JOIN cut c ON c.doc_id = f.doc_id AND c.i = f.i + 1)
+    SELECT doc_id, md5(array_to_string(arg_max(merged, i), ' ')) AS digest FROM fold GROUP BY doc_id""")
 def merge_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = F.transform(tokens.windows(text.words(F.col("text")), 160, 20), lambda w: w["text"])
-    return table(spark, sf_dir, "documents").select("doc_id", F.md5(merge_fuzzy_column(cut)).alias("digest"))
+    return with_merged(table(spark, sf_dir, "documents").select("doc_id", cut.alias("cut")), "cut", "merged").select("doc_id", F.md5("merged").alias("digest"))
 
 
 _CHUNKED = f"""{_PREPARED}, numbered AS (SELECT *, row_number() OVER (ORDER BY row_id) AS n FROM messages), units AS (
@@ -429,7 +435,12 @@ def translate_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row_id", "translated_text", "status", "placeholder_ok", "was_chunked", "token_count", "chunk_count", "validation_error")
 
 
-@query()
+_LOST = f"(route = 'normal' AND len({_words('masked')}) > 100 AND len(list_filter({_words('masked')}, lambda w: starts_with(w, '<') AND ends_with(w, '>') AND regexp_matches(w, '{_ANGLE}'))) > 0)"
+
+
+@query(f"""WITH {_PREPARED}, lost AS (SELECT *, {_LOST} AS lost FROM routed), again AS (SELECT *, route = 'chunked' OR (lost AND token_count > 128) AS cut FROM lost)
+    SELECT row_id, CASE WHEN route LIKE 'skipped%' THEN route WHEN cut THEN 'ok_chunked' WHEN lost THEN 'placeholder_mismatch' ELSE 'ok' END AS status, cut AS was_chunked,
+        CAST(CASE WHEN NOT cut THEN 0 WHEN token_count - 1 <= 90 THEN 1 ELSE ceil((token_count - 11) / 80.0) END AS INT) AS chunk_count FROM again""")
 def translate_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A model that loses placeholders in long texts: the retry mends some of what it loses."""
     return translate(numbered(spark, sf_dir), Config(model_name="forgetful", sort_batches_by_length=True, chunk_token_limit=90, chunk_overlap_tokens=10)).select("row_id", "status", "was_chunked", "chunk_count")

@@ -7,12 +7,15 @@ short seed of the chunk's first words found in the tail, or plain joining.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
-import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+# Sizes, thresholds and (below) weights that decide the merged text, so they must be these.
 LEAST_OVERLAP, MOST_OVERLAP = 5, 30
 FULL_RATIO, INNER_RATIO, EDGE_TRIM = 0.72, 0.85, 2
 TAIL, SEEDS = 80, (3, 2)
@@ -74,11 +77,19 @@ def merge_fuzzy(chunks: list[str]) -> str:
     return merged.strip()
 
 
-def merge_fuzzy_column(chunks: Column) -> Column:
-    """`merge_fuzzy` over an array column, by Arrow batches; null arrays give an empty text."""
+def with_merged(df: DataFrame, chunks: str, name: str) -> DataFrame:
+    """``df`` with the array column ``chunks`` replaced by their fuzzy merge ``name``; a null array gives an empty text.
 
-    @F.pandas_udf("string")
-    def run(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: merge_fuzzy(list(v)) if v is not None else "")
+    An operator of its own rather than an expression, so that the JVM never has to evaluate the fold.
+    Select few columns first: all others pass through Python too.
+    """
+    others = [c for c in df.columns if c != chunks]
+    own = df.select(*(F.col(f"`{c}`") for c in others), F.col(f"`{chunks}`"))
+    schema = T.StructType([*(f for f in own.schema if f.name != chunks), T.StructField(name, T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            merged = [merge_fuzzy(v.as_py() or []) for v in batch.column(len(others))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(merged, pa.string())], names=[*others, name])
 
-    return run(chunks)
+    return own.mapInArrow(run, schema)
