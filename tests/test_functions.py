@@ -122,7 +122,7 @@ def test_merges(spark):
     whole = " ".join(f"w{i}" for i in range(100)).split()
     cut = [" ".join(whole[i : i + 30]) for i in range(0, 90, 22)]
     assert merge.merge_fuzzy(cut) == " ".join(whole[:100])
-    rows = spark.createDataFrame([(1, cut, "kept"), (2, None, None)], "i int, cut array<string>, `a.b` string")
+    rows = spark.createDataFrame([(1, cut, "kept"), (2, None, None)], "i int, cut array<string>, other string")
     assert [tuple(r) for r in merge.with_merged(rows, "cut", "m").orderBy("i").collect()] == [(1, "kept", " ".join(whole[:100])), (2, None, "")]
     assert merge.merge_fuzzy(["it was a dark night and", "A dark, stormy night it seemed"]) == "it was A dark, stormy night it seemed"
     assert merge.merge_fuzzy(["he said The End. then more", "the end was near"]) == "he said the end was near"
