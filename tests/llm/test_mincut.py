@@ -73,6 +73,35 @@ def _article(source):
     return "\n".join(p for p in parts if p)
 
 
+TWO = "<p>The first paragraph of the article is long enough to look like one, and it ends here.</p><p>The second paragraph says more about it, at some length, and then it ends as well.</p>"
+TEXTS = "\n".join(re.findall("<p>(.*?)</p>", TWO))
+OTHER = "<p>Another paragraph of many words stands here, which is no part of the article at all, as a reader can tell.</p>"
+
+
+def test_wrappers_and_names_of_the_page_do_not_empty_it():
+    for page in (f"<form id=aspnet>{TWO}</form>", f"<form id=aspnet><nav><a href=/>Home</a></nav><article>{TWO}</article><footer>{OTHER}</footer></form>", f"<body class='has-sidebar'>{TWO}</body>",
+                 f"<div class='widget article'>{TWO}</div>", f"<div class='page-header more'>{TWO}</div>", f"<div class='sidebar-layout'><div>{TWO}</div></div>", f"<body id=comments class='search nav'><article>{TWO}</article></body>"):
+        assert mincut.main_text(page) == TEXTS, page
+
+
+def test_what_is_no_part_of_an_article_goes_even_inside_it():
+    for part in ("section class=comments", "aside", "div class='article-comments'", "div class=werbung", "div id=kommentare", "ul class=publicite", "div class='post-related'", "div class=mainSidebar", "div role=complementary", "div class=commentaires", "form"):
+        tag = part.split()[0]
+        cards = f"<article class=entry>{OTHER}</article>"
+        for inner in (OTHER, cards, f"<div>{OTHER}</div>" * 5):
+            page = f"<article>{TWO}<{part}>{inner}</{tag}></article><{part}>{inner}</{tag}>"
+            if part != "form" or inner is not cards:
+                assert mincut.main_text(page) == TEXTS, page
+
+
+def test_evidence_late_in_a_block_counts():
+    odd = "\u4e00" * 5000
+    late, early = (mincut.costs(mincut.blocks_of(f"<div>{x}</div>")[0]) for x in (odd + " word" * 70, "word " * 70 + odd))
+    assert late == early != mincut.costs(mincut.blocks_of(f"<div>{odd}</div>")[0])
+    notice, none = (mincut.costs(mincut.blocks_of(f"<div>{'word ' * 100}{x}</div>")[0]) for x in ("\u00a9", "x"))
+    assert notice[1] > none[1]
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.01"
     pages = {r.page_id: r for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}

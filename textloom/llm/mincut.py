@@ -15,6 +15,7 @@ import re
 from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,17 +34,28 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "d
 ENDS_P = frozenset("address article aside blockquote details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 
 #: Evidence in log-odds that a block under the element is boilerplate (positive) or text (negative).
-ELEMENT_ODDS = {"nav": 8.0, "footer": 8.0, "aside": 6.0, "form": 7.0, "button": 8.0, "menu": 7.0, "dialog": 7.0, "fieldset": 6.0, "header": 3.0, "article": -4.0, "main": -3.0}
-ROLE_ODDS = {"navigation": 8.0, "banner": 5.0, "contentinfo": 8.0, "complementary": 6.0, "search": 8.0, "form": 7.0, "menu": 7.0, "menubar": 7.0, "dialog": 7.0, "alertdialog": 7.0, "alert": 6.0, "main": -3.0, "article": -4.0}
-#: A word of a class or id, and its log-odds.
-NAME_ODDS = dict.fromkeys("ad ads advert advertisement adverts adsense banner sponsor sponsored promo promotion outbrain taboola".split(), 8.0)
-NAME_ODDS |= dict.fromkeys("nav navbar navigation menu breadcrumb breadcrumbs pagination pager toc skip".split(), 7.0)
-NAME_ODDS |= dict.fromkeys("comment comments disqus replies respond reply".split(), 8.0)
-NAME_ODDS |= dict.fromkeys("footer foot copyright legal colophon".split(), 7.0)
-NAME_ODDS |= dict.fromkeys("sidebar side aside widget rail related recommended recommendations popular trending more tags share sharing social newsletter subscribe signup login search cookie cookies consent gdpr notice popup modal overlay paywall masthead".split(), 6.5)
-NAME_ODDS |= dict.fromkeys("header topbar toolbar".split(), 4.0)
-NAME_ODDS |= dict.fromkeys("article content post entry body story text main prose".split(), -2.0)
-_NAMES = re.compile("[a-z]+")
+ELEMENT_ODDS = {"nav": 8.0, "footer": 8.0, "aside": 7.0, "form": 7.0, "button": 8.0, "menu": 7.0, "dialog": 7.0, "fieldset": 6.0, "header": 3.0, "article": -4.0, "main": -3.0}
+ROLE_ODDS = {"navigation": 8.0, "banner": 5.0, "contentinfo": 8.0, "complementary": 7.0, "search": 8.0, "form": 7.0, "menu": 7.0, "menubar": 7.0, "dialog": 7.0, "alertdialog": 7.0, "alert": 6.0, "main": -3.0, "article": -4.0}
+#: A word of a class or id, in several languages, and its log-odds.
+NAME_ODDS = dict.fromkeys("ad ads advert advertisement adverts adsense banner sponsor sponsored promo promotion outbrain taboola werbung anzeige anzeigen publicite annonce publicidad anuncio pubblicita reclame reklama".split(), 8.0)
+NAME_ODDS |= dict.fromkeys("comment comments disqus replies respond reply kommentar kommentare commentaire commentaires comentario comentarios commento commenti reacties komentarze".split(), 8.0)
+NAME_ODDS |= dict.fromkeys("cookie cookies consent gdpr notice popup modal overlay paywall hinweis".split(), 7.5)
+#: Names up to here hold their content whatever share of the page that is.
+_FIRM = frozenset(NAME_ODDS)
+NAME_ODDS |= dict.fromkeys("nav navbar navi navigation navigacion navigazione menu menue menü breadcrumb breadcrumbs pagination pager toc skip".split(), 7.0)
+NAME_ODDS |= dict.fromkeys("footer foot fusszeile fuss pied piedepagina copyright legal impressum colophon".split(), 7.0)
+NAME_ODDS |= dict.fromkeys("sidebar side aside seitenleiste barre barra widget rail related recommended recommendations popular trending tags share sharing social newsletter subscribe signup login search suche recherche buscar masthead".split(), 6.5)
+NAME_ODDS |= dict.fromkeys("header topbar toolbar kopfzeile".split(), 2.5)
+NAME_ODDS |= dict.fromkeys("article artikel articulo articolo content inhalt contenu contenido post entry body story text main prose beitrag".split(), -2.0)
+#: A compound name with one of these tells of the page's state or layout, not of what the element holds.
+_STATE = frozenset("has with without no not is layout template theme col cols columns".split())
+_NAMES = re.compile(r"[^\W\d_A-Z]+|[A-Z][^\W\d_A-Z]*")
+#: Elements that hold boilerplate for certain take away what their surroundings say for text, from these odds on.
+_CERTAIN = 5.0
+#: Share of the page's running text (blocks of ten words, outside links) from which a form, or an element named like
+#: boilerplate, is but a wrapper around the page.
+WRAPS = 0.9
+_RUNNING_WORDS = 10
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: Costs of labelling apart neighbours in page order, siblings, and cousins at each further step up.
 ORDER_WEIGHT, SIBLING_WEIGHT, DECAY = 0.6, 1.2, 0.5
@@ -56,15 +68,37 @@ _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*(?:=\s*(?:"([^"]*)"?|'([^']*)'?|([^\
 _SPACE = re.compile(r"\s+")
 
 
+@dataclass
+class Evidence:
+    """What an element's own tag says: log-odds for boilerplate by its kind and by its names, and for text (negative)."""
+
+    kind: float = 0.0
+    named: float = 0.0
+    text: float = 0.0
+    firm: bool = True
+
+
+_NONE = Evidence()
+
+
 @dataclass
 class Node:
-    """An open element: its name, its parent, and the log-odds that it hands down."""
+    """An open element: its name, its parent and its own evidence; once the page is read, its log-odds."""
 
     name: str
     parent: Node | None
-    odds: float
+    own: Evidence
     skipped: bool
     depth: int
+    #: Letters of running text below, and whether an element of the page's main structure is.
+    running: int = 0
+    holds: bool = False
+    boiler: float = 0.0
+    content: float = 0.0
+
+    @property
+    def odds(self) -> float:
+        return self.boiler + self.content
 
 
 @dataclass
@@ -75,27 +109,65 @@ class Block:
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     text: str = ""
+    #: Words, counted over the whole text as far as they make a difference.
+    words: int = 0
 
 
 def _attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(source)} if source.strip(" /\t\n\r\f") else {}
 
 
-def _own_odds(name: str, attributes: dict[str, str]) -> float:
-    odds = ELEMENT_ODDS.get(name, 0.0)
-    if attributes:
-        odds += ROLE_ODDS.get(attributes.get("role", "").lower(), 0.0)
-        words = set(_NAMES.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()))
-        found = [NAME_ODDS[w] for w in words if w in NAME_ODDS]
-        if found:
-            odds += max(found) if max(found) > 0 else min(found)
-    return odds
+def _evidence(name: str, attributes: dict[str, str]) -> Evidence:
+    """Names of the page's root say nothing; in a compound name what is boilerplate outweighs what is text, as in
+    article-comments; separate names that contradict each other, as in "widget article", nearly cancel out."""
+    element = ELEMENT_ODDS.get(name, 0.0)
+    role = ROLE_ODDS.get(attributes.get("role", "").lower(), 0.0) if attributes else 0.0
+    kind, content = max(element, role, 0.0), min(element, role, 0.0)
+    named, firm = 0.0, True
+    if attributes and name not in ("html", "body"):
+        for compound in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+            words = {w.lower() for w in _NAMES.findall(compound)} | {compound.lower()}
+            if words & _STATE:
+                continue
+            odds = [NAME_ODDS[w] for w in words if w in NAME_ODDS]
+            if odds and max(odds) > named:
+                named, firm = max(odds), not words.isdisjoint(_FIRM)
+            elif odds and max(odds) < 0:
+                content = min(content, min(odds))
+    if named and content:
+        named = max(0.0, named - 6.0)
+    return Evidence(kind, named, content, firm) if kind or named or content else _NONE
+
+
+def _settle(nodes: list[Node], blocks: list[Block]) -> None:
+    """Every node's log-odds, handed down from the root; parents come before their children in ``nodes``."""
+    for b in blocks:
+        if b.words >= _RUNNING_WORDS:
+            b.node.running += max(0, len(b.text) - b.linked)
+    for node in reversed(nodes):
+        if node.parent is not None:
+            node.parent.running += node.running
+            node.parent.holds |= node.holds or node.name in _STRUCTURE
+    whole = nodes[0].running
+    for node in nodes[1:]:
+        own, up = node.own, node.parent
+        wraps = whole > 0 and node.running > WRAPS * whole
+        kind = 0.0 if node.name == "form" and (wraps or node.holds) else own.kind
+        named = own.named if own.firm or not wraps else 0.0
+        evidence = max(kind, named)
+        node.boiler = max(up.boiler, evidence)
+        # Inside certain boilerplate nothing speaks for text any more: a card in a sidebar, an aside in an article.
+        node.content = 0.0 if evidence >= _CERTAIN else up.content if up.boiler >= _CERTAIN else min(up.content, own.text)
+
+
+#: Elements that no form holds but one around the whole page.
+_STRUCTURE = frozenset("article main nav header footer aside h1".split())
 
 
 def blocks_of(source: str) -> list[Block]:
     """The blocks of a page in order, text decoded and white space as one space; blocks without text are left out."""
-    root = Node("", None, 0.0, False, 0)
-    node, blocks, current = root, [], None
+    root = Node("", None, _NONE, False, 0)
+    node, blocks, current, nodes = root, [], None, [root]
     links = at = 0
     opened: Counter[str] = Counter()  # open elements by name, so that no search for one that isn't there climbs the tree
 
@@ -174,7 +246,8 @@ def blocks_of(source: str) -> list[Block]:
         hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true" or bool(_HIDDEN.search(attributes.get("style", "")))
         closed = m[3].endswith("/") and name in ("svg", "math")
         if not closed:
-            node = Node(name, node, node.odds + _own_odds(name, attributes), node.skipped or name in SKIPPED or hidden, node.depth + 1)
+            node = Node(name, node, _evidence(name, attributes), node.skipped or name in SKIPPED or hidden, node.depth + 1)
+            nodes.append(node)
             opened[name] += 1
             links += name == "a"
         if name in RAW:
@@ -183,30 +256,36 @@ def blocks_of(source: str) -> list[Block]:
             shut(node.parent)
     for b in blocks:
         b.text = _SPACE.sub(" ", "".join(b.parts)).strip()
-    return [b for b in blocks if b.text]
+        b.words = sum(1 for _ in islice(_WORD.finditer(b.text), _MOST_WORDS))
+    blocks = [b for b in blocks if b.text]
+    _settle(nodes, blocks)
+    return blocks
 
 
 _WORD = re.compile(r"\w+")
+#: From so many words on their number makes no difference to the costs, so no more are counted.
+_MOST_WORDS = 60
 
 
 def costs(block: Block) -> tuple[float, float]:
     """(cost of calling the block boilerplate, cost of calling it text): minus the logarithms of a logistic classifier's chances."""
     n = len(block.text)
-    words = len(_WORD.findall(block.text, 0, 4000))
+    words = block.words
     linked = min(1.0, block.linked / n)
-    odds = _PRIOR + block.node.odds + 6.0 * (linked - 0.15) - 0.5 * min(4.0, math.log2(1 + words / 4))
+    odds = _PRIOR + block.node.odds + 6.0 * (linked - 0.15) - 0.5 * min(4.0, math.log2(1 + words / 4))  # 4 from 60 words on
     if block.text[-1] in ".!?…:;\"'”»" and words > 6:
         odds -= 0.8
     if block.node.name in ("p", "blockquote", "pre", "h1", "h2", "h3"):
         odds -= 0.8
-    if "©" in block.text[:200]:
+    if "©" in block.text:
         odds += 3.0
     keep = 1 / (1 + math.exp(max(-30.0, min(30.0, odds))))
     return -math.log(max(1e-9, 1 - keep)), -math.log(max(1e-9, keep))
 
 
 def proximity(a: Node, b: Node) -> float:
-    """1 for siblings (and a block's own element), less by DECAY for each further step to the common ancestor."""
+    """1 for siblings (and a block's own element), less by DECAY for each further step to the common ancestor; 0 from
+    nine steps on, where less than a hundredth would be left."""
     steps = 0
     while a is not b:
         if steps > 8:
