@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows in an Arrow batch that Python workers receive; bounds a worker's memory by rows times text size.
+from textloom.sources.store import discard, new_path, scratch, shared_folder, written
+
+__all__ = ["attach", "blocks", "discard", "kept", "limited", "materialize", "new_path", "scratch", "shared_folder", "table", "text_or_empty"]
+
+#: Rows and bytes that an Arrow batch holds at most (a longer row has one of its own); both bound a worker's memory.
 BATCH_ROWS = 512
+BATCH_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,34 +19,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Let no Arrow batch hold more than ``rows`` rows, so that long texts can't fill a worker."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-
+def limited(df: DataFrame, rows: int = BATCH_ROWS, size: int = BATCH_BYTES) -> DataFrame:
+    """The same rows in a session of their own, whose Arrow batches hold at most ``rows`` rows and ``size`` bytes.
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: what the cluster names, or else (tests) one of our own.
-
-    In local mode every task sees the driver's disk, so a temporary folder is shared there; on a
-    cluster without ``spark.checkpoint.dir`` the warehouse is the only place known to be shared.
+    Batches are cut when a plan runs, long after an operator has returned, so the limits can't be set and taken back;
+    the caller's session keeps its own settings.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local":
-        import tempfile
-
-        return f"file://{tempfile.gettempdir()}/textloom-shared"
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_textloom_shared"
+    spark = df.sparkSession
+    if spark.conf.get("spark.textloom.limited", None):
+        return df
+    session = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    session.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+    session.conf.set("spark.textloom.limited", "true")
+    return DataFrame(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(session._jsparkSession, df._jdf.logicalPlan()), session)
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` once into the shared folder and read it back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: Writes a frame once into the shared folder and reads it back: cuts lineage, survives lost executors.
+materialize = written
 
 
 def text_or_empty(name: str = "text") -> Column:

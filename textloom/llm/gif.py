@@ -243,8 +243,10 @@ def decode_gif(data: bytes, paint: bool = True) -> Iterator[Frame]:
 
 def histogram(rgba: np.ndarray, bins: int = HIST_BINS) -> list[int]:
     """Pixels per channel and bin (red, green, blue in turn); pixels that show nothing don't count."""
-    shown = rgba[rgba[..., 3] > 0][:, :3].astype(np.int64)
-    return [int(n) for c in range(3) for n in np.bincount(shown[:, c] * bins // 256, minlength=bins)]
+    shown = rgba[..., 3] > 0
+    pixels = rgba.reshape(-1, 4) if shown.all() else rgba[shown]
+    place = np.arange(256) * bins // 256
+    return [int(n) for c in range(3) for n in np.bincount(place, np.bincount(pixels[:, c], minlength=256), bins)]
 
 
 def payload_of(text: str, width: int = WIDTH) -> bytes:
@@ -274,63 +276,115 @@ def with_media(df: DataFrame, text: str = "text", media: str = "media", carry: l
     return narrow.mapInArrow(run, schema)
 
 
-def gif_frames(df: DataFrame, media: str = "media", carry: list[str] | None = None, bins: int = HIST_BINS) -> DataFrame:
-    """A row per frame of each GIF: timing, geometry, samples, and the painted canvas' colour histogram.
+_FRAME_COLUMNS = {"frame": pa.int32(), "start_cs": pa.int64(), "delay_cs": pa.int32(), "disposal": pa.int32(), "width": pa.int32(), "height": pa.int32(), "samples": pa.binary(), "histogram": pa.list_(pa.int64())}
 
-    A null, empty or damaged image gives no frame from the point of damage on.
+
+def gif_frames(df: DataFrame, media: str = "media", carry: list[str] | None = None, bins: int = HIST_BINS, keep_empty: bool = False) -> DataFrame:
+    """A row per frame of each GIF: timing, geometry, samples, and the colour histogram of the canvas once the frame is
+    painted by palette, transparency and disposal.
+
+    Frames of an image follow each other within a partition. A damaged image gives the frames before the damage; a
+    null, an empty one and one without any give no row, or with ``keep_empty`` one of nulls. Repeated rows give equal
+    frames each, an empty table none; columns that aren't carried are left out whatever their names.
     """
-    carry = kept(carry, "frame", "start_cs", "delay_cs", "disposal", "width", "height", "samples", "histogram")
+    carry = kept(carry, *_FRAME_COLUMNS)
     narrow = df.select(*carry, F.col(media).alias("__media"))
     schema = ", ".join([*(f"`{c}` {t}" for c, t in narrow.dtypes if c != "__media"), "frame int, start_cs bigint, delay_cs int, disposal int, width int, height int, samples binary, histogram array<bigint>"])
-    names = [*carry, "frame", "start_cs", "delay_cs", "disposal", "width", "height", "samples", "histogram"]
-    types = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
+    names = [*carry, *_FRAME_COLUMNS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, found = [], []
+            rows, found, held = [], [], 0
+
+            def part() -> pa.RecordBatch:
+                own = batch.take(pa.array(rows, pa.int64()))
+                return pa.RecordBatch.from_arrays([*own.columns[: len(carry)], *(pa.array([r[k] for r in found], t) for k, t in enumerate(_FRAME_COLUMNS.values()))], names=names)
+
             for i, value in enumerate(batch.column(len(carry))):
-                start = 0
+                start, before = 0, len(found)
                 try:
                     for f in decode_gif(value.as_py() or b""):
                         found.append((f.index, start, f.delay_cs, f.disposal, f.width, f.height, f.samples, histogram(f.canvas, bins)))
                         rows.append(i)
                         start += f.delay_cs
+                        held += len(f.samples)
+                        if held > _HELD_BYTES:  # frames of a long image go out as they are decoded
+                            yield part()
+                            rows, found, held, before = [], [], 0, -1
                 except (ValueError, IndexError, struct.error):
                     pass
-            kept = batch.take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*kept.columns[: len(carry)], *(pa.array([r[k] for r in found], t) for k, t in enumerate(types))], names=names)
+                if keep_empty and len(found) == before:
+                    found.append((None,) * len(_FRAME_COLUMNS))
+                    rows.append(i)
+            if rows:
+                yield part()
 
     return narrow.mapInArrow(run, schema)
 
 
-def media_digest(df: DataFrame, media: str = "media", carry: list[str] | None = None) -> DataFrame:
-    """What the stored images hold, read back: digests of payload and image, and a feature per image.
+#: Samples that wait to be sent on.
+_HELD_BYTES = 8 << 20
 
-    The feature is the grey histogram over all frames (shares of 255ths, hexadecimal), with the
-    number of frames and the running time.
+
+def frames_digest(frames: DataFrame, carry: list[str] | None = None, bins: int = HIST_BINS) -> DataFrame:
+    """A row per image of what `gif_frames` gives with ``keep_empty``: the payload's length and digests, and a feature.
+
+    Read frame by frame in the order of the partition, so no image has to be whole in memory and nothing is
+    shuffled. The feature is the colour histogram over all painted frames (per channel and bin its share in 255ths,
+    hexadecimal), the number of frames and the running time. An image without a frame has a payload of no bytes.
     """
-    carry = kept(carry, "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
-    narrow = df.select(*carry, F.col(media).alias("__media"))
-    schema = ", ".join([*(f"`{c}` {t}" for c, t in narrow.dtypes if c != "__media"), "payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"])
-    names = [*carry, "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-    types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+    carry = kept(carry, "payload_bytes", "payload_sha256", "tail_crc32", "feature")
+    narrow = frames.select(*carry, "frame", "delay_cs", "samples", "histogram")
+    schema = ", ".join([*(f"`{c}` {t}" for c, t in narrow.dtypes[: len(carry)]), "payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, feature string"])
+    names = [*carry, "payload_bytes", "payload_sha256", "tail_crc32", "feature"]
+    types = [pa.int64(), pa.string(), pa.int64(), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, digest, size, tail, counts, n, time = None, hashlib.sha256(), 0, b"", np.zeros(3 * bins, np.int64), 0, 0
+
+        def close() -> tuple:
+            channel = max(1, int(counts.sum()) // 3)
+            feature = "".join(f"{int(b) * 255 // channel:02x}" for b in counts) + f":{n}:{time}"
+            return size, digest.hexdigest(), zlib.crc32(tail), feature
+
         for batch in batches:
-            found = []
-            for value in batch.column(len(carry)):
-                image = value.as_py()
-                digest, size, tail, counts, frames, time = hashlib.sha256(), 0, b"", np.zeros(256, np.int64), 0, 0
-                for f in decode_gif(image, paint=False):
-                    digest.update(f.samples)
-                    size += len(f.samples)
-                    tail = (tail + f.samples[-64:])[-64:]
-                    counts += np.bincount(np.frombuffer(f.samples, np.uint8), minlength=256)
-                    frames += 1
-                    time += f.delay_cs
-                bins = counts.reshape(HIST_BINS, -1).sum(1)
-                feature = "".join(f"{int(b * 255 // size):02x}" for b in bins) + f":{frames}:{time}"
-                found.append((size, digest.hexdigest(), zlib.crc32(tail), len(image), hashlib.sha256(image).hexdigest(), feature))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(carry)], *(pa.array([r[k] for r in found], t) for k, t in enumerate(types))], names=names)
+            own = len(carry)
+            heads, found = [], []  # carried columns of the images that end in this batch, and what was found of them
+            for i, (frame, delay, samples, tally) in enumerate(zip(*(batch.column(own + k) for k in range(4)), strict=True)):
+                index = frame.as_py()
+                if not index:  # null or 0: the next image begins
+                    if first is not None:
+                        heads.append(first)
+                        found.append(close())
+                    first, digest, size, tail, counts, n, time = batch.slice(i, 1), hashlib.sha256(), 0, b"", np.zeros(3 * bins, np.int64), 0, 0
+                if index is not None:
+                    data = samples.as_buffer()
+                    digest.update(data)
+                    size += data.size
+                    tail = (tail + data.slice(max(0, data.size - 64)).to_pybytes())[-64:]
+                    counts += np.asarray(tally.values)
+                    n, time = n + 1, time + delay.as_py()
+            if heads:
+                yield _digested(heads, found, own, types, names)
+        if first is not None:
+            yield _digested([first], [close()], len(carry), types, names)
 
     return narrow.mapInArrow(run, schema)
+
+
+def _digested(heads: list[pa.RecordBatch], found: list[tuple], own: int, types: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
+    carried = [pa.concat_arrays([h.column(k) for h in heads]) for k in range(own)]
+    return pa.RecordBatch.from_arrays([*carried, *(pa.array([r[k] for r in found], t) for k, t in enumerate(types))], names=names)
+
+
+def media_digest(df: DataFrame, media: str = "media", carry: list[str] | None = None) -> DataFrame:
+    """What the stored images hold, read back through `gif_frames`: digests of payload and image, and a feature per image.
+
+    A row per row. A damaged image counts as far as it goes; a null, an empty one and one that is no GIF have a payload
+    of no bytes and a feature of zeros, and a null one a null length and digest. Repeated rows give equal results, an
+    empty table none; of columns that aren't carried, none is given, and a result's own name wins over a carried one.
+    """
+    carry = kept(carry, "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+    stored = df.select(*carry, F.length(media).cast("bigint").alias("media_bytes"), F.sha2(F.col(media), 256).alias("media_sha256"), F.col(media).alias("__image"))
+    every = [*carry, "media_bytes", "media_sha256"]
+    return frames_digest(gif_frames(stored, "__image", every, keep_empty=True), every)

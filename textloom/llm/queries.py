@@ -7,37 +7,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import ann, gif, langid, mincut, packing, pieces, pii, secrets, simhash, warc
-from textloom.llm.common import bounded_batches, materialize, table
+from textloom.llm.common import limited, materialize, scratch, table
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return limited(table(spark, sf_dir, name))
 
 
 def op1_min_cut_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's main text."""
-    bounded_batches(spark)
-    return mincut.extract(table(spark, sf_dir, "pages"), carry=["page_id", "url"])
+    return mincut.extract(_table(spark, sf_dir, "pages"), carry=["page_id", "url"])
 
 
 def op2_one_bit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every vector whose id 20 divides, among all others."""
-    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+    return ann.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
 def op3_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every text stored as a GIF, read back, digested."""
-    bounded_batches(spark)
-    stored = gif.with_media(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    """Every text stored as a GIF, its frames decoded and painted, digested."""
+    stored = gif.with_media(_table(spark, sf_dir, "documents"), carry=["doc_id"])
     return gif.media_digest(stored, carry=["doc_id", "n_bytes"])
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and the class that links of three bits or fewer put it in."""
-    bounded_batches(spark)
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text's language, by filters learned from the labelled documents that aren't held out."""
-    bounded_batches(spark)
-    documents = table(spark, sf_dir, "documents")
+    documents = _table(spark, sf_dir, "documents")
     apart = langid.held_out(F.col("doc_id"))
     filters = langid.fit(documents.where(~apart), F.col("doc_id"))
     found = langid.predict_column(documents.select("doc_id", apart.alias("held_out"), "text"), filters, carry=["doc_id", "held_out"])
@@ -46,31 +46,28 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded with the 32k merge-type model."""
-    bounded_batches(spark)
-    return pieces.encoding_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), carry=["doc_id"])
+    return pieces.encoding_digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), carry=["doc_id"])
 
 
 def op7_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text's personal data: fixed forms, and what their contexts find."""
-    return pii.report(pii.find(table(spark, sf_dir, "documents"), carry=["doc_id"]), ["doc_id"])
+    return pii.report(pii.find(_table(spark, sf_dir, "documents"), carry=["doc_id"]), ["doc_id"])
 
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text's secrets: fixed forms, and random strings by the test battery."""
-    return secrets.report(secrets.scan(table(spark, sf_dir, "documents"), carry=["doc_id"]), ["doc_id"])
+    return secrets.report(secrets.scan(_table(spark, sf_dir, "documents"), carry=["doc_id"]), ["doc_id"])
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text tokenised, cut and packed into sequences of 1024 tokens."""
-    bounded_batches(spark)
-    packed = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), carry=["doc_id"])
+    packed = packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), carry=["doc_id"])
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def op10_warc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to monolithic archives, normalised, and read back through the index."""
-    bounded_batches(spark)
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
     archives = materialize(warc.write_archives(warc.with_dedup(pages)), "op10-archives")
     normalised = materialize(warc.normalise_archives(archives), "op10-normalised")
     return warc.read_pages(normalised)
