@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import langid, packing, secrets, simhash
-from textloom.llm.common import attach, bounded_batches, materialize, table
+from textloom.llm.common import attach, limited, materialize, table
 
 
 def anonymous(docs: DataFrame) -> tuple[DataFrame, list[str], dict[str, str]]:
@@ -27,8 +27,7 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     from (no language given, say), texts with a letter all stay. Repeated rows stay as
     often as they come, and other columns, of any name, stay as they are; no input gives no output.
     """
-    bounded_batches(spark)
-    own, names, of = anonymous(docs)
+    own, names, of = anonymous(limited(docs))
     key, text = F.col(of["doc_id"]), of["text"]
     filters = langid.fit(own.where(~langid.held_out(key)), key, text, of["lang"])
     if not filters.langs:
@@ -44,8 +43,7 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     class's id, the first by all its columns stays. Rows of a class that has no id (all null) all stay, as
     none can be named. Other columns, of any name, stay as they are; no input gives no output.
     """
-    bounded_batches(spark)
-    own, names, of = anonymous(docs)
+    own, names, of = anonymous(limited(docs))
     key = of["doc_id"]
     classes = simhash.near_duplicates(own, of["text"], key).where(F.col("component_id") == F.col(key))
     kept = materialize(classes.groupBy(F.col(key).cast("string").alias("own")).agg(F.lit(True).alias("keeps"), F.count("*").alias("n")), "kept")
@@ -76,8 +74,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null or empty text is its end token alone; repeated rows and null ids are packed like any other.
     """
-    bounded_batches(spark)
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), carry=["doc_id"])
+    return packing.pack_documents(limited(docs), public_tokenizers.path("byte_bpe_50k.json"), carry=["doc_id"])
 
 
 STAGES = [
