@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import ann, gif, langid, mincut, packing, pieces, pii, secrets, simhash, warc
-from textloom.llm.common import limited, materialize, scratch, table
+from textloom.llm.common import limited, new_path, scratch, table
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,9 +68,13 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_warc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to monolithic archives, normalised, and read back through the index."""
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    archives = materialize(warc.write_archives(warc.with_dedup(pages)), "op10-archives")
-    normalised = materialize(warc.normalise_archives(archives), "op10-normalised")
-    return warc.read_pages(normalised)
+    folder = new_path(spark, "op10-normalised")
+    with scratch(spark) as keep:  # the monolithic archives go once they are normalised
+        monolithic = new_path(spark, "op10-monolithic")
+        warc.write_archives(warc.with_dedup(pages), monolithic)
+        archives = warc.normalise_archives(spark, monolithic, folder)
+        keep.append(archives)
+    return warc.read_pages(limited(archives)).drop("url")
 
 
 QUERIES = {
