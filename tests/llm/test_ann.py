@@ -15,7 +15,7 @@ def test_bounds_hold():
     rng = np.random.default_rng(2)
     for dim in (3, 64, 100):
         vectors = rng.standard_normal((3000, dim)) * rng.exponential(1, (3000, 1))
-        codes = ann.Codes(vectors)
+        codes = ann.Codes.of(vectors)
         queries = rng.standard_normal((40, dim)) * 7
         value, error = codes.estimate(queries)
         truth = queries @ vectors.T
@@ -27,7 +27,7 @@ def test_bounds_hold():
 def test_bounds_leave_few_to_rerank():
     rng = np.random.default_rng(3)
     vectors = rng.standard_normal((5000, 256))
-    value, error = ann.Codes(vectors).estimate(vectors[:3])
+    value, error = ann.Codes.of(vectors).estimate(vectors[:3])
     for q in range(3):
         assert (value[q] + error[q] >= np.sort(vectors @ vectors[q])[-20]).mean() < 0.5
 

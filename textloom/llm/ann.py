@@ -6,16 +6,21 @@ products are estimated from counts of common bits, and a bound on the estimate's
 the correction scalars. Only vectors whose bound reaches the 20th best of those looked at already are
 reranked, by the exact product.
 
-Queries and vectors meet in a grid of blocks, so memory is bounded and every vector is a candidate for
-every query.
+Codes are built once, where vectors are scanned. Queries and vectors then meet in a grid of blocks, so memory is
+bounded and every vector is a candidate for every query. What is shuffled grows with the number of vectors times that
+of query blocks (and the other way round), so blocks are large and vectors travel packed, in their own precision.
+Coarse cells would not do: where vectors have no direction in common, as in isotropic data, most cells must be probed.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,9 +32,11 @@ QUERY_BITS = 5
 #: Standard deviations of the estimate's error that the bound allows for; at 3 one pair in some hundreds lies beyond.
 EPSILON = 3.0
 #: Queries whose estimates are held at a time.
-AT_A_TIME = 64
-BLOCK_ROWS = 8192
-QUERY_ROWS = 1024
+AT_A_TIME = 32
+#: Rows of a block of vectors and of queries at most. Small tables are dealt to up to LEAST_BLOCKS of SMALL_BLOCK rows, to be searched side by side.
+BLOCK_ROWS = 1 << 16
+QUERY_ROWS = 1 << 14
+LEAST_BLOCKS, SMALL_BLOCK = 8, 2048
 
 
 @lru_cache(8)
@@ -40,20 +47,26 @@ def rotation(dim: int) -> np.ndarray:
 
 
 class Codes:
-    """One-bit codes of a block of vectors: packed signs, lengths and correction scalars."""
+    """One-bit codes of a block of vectors: packed signs and two correction scalars each.
 
-    def __init__(self, vectors: np.ndarray):
+    ``scale`` is the vector's length over ``along``, the inner product of the unit vector and its unit code, which is
+    near 0.8 for a random one.
+    """
+
+    def __init__(self, dim: int, packed: np.ndarray, scale: np.ndarray, along: np.ndarray):
+        self.dim, self.packed, self.scale, self.along = dim, packed, scale, along
+        self.words = packed.shape[1]
+        self.ones = np.bitwise_count(packed).sum(1).astype(np.int64)
+
+    @classmethod
+    def of(cls, vectors: np.ndarray) -> Codes:
         n, dim = vectors.shape
         rotated = vectors @ rotation(dim).T
-        self.dim, self.length = dim, np.linalg.norm(vectors, axis=1)
-        signs = rotated > 0
-        self.words = -(-dim // 64)
-        bits = np.zeros((n, self.words * 64), bool)
-        bits[:, :dim] = signs
-        self.packed = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
-        self.ones = signs.sum(1)
-        #: Inner product of the unit vector and its unit code; near 0.8 for a random one.
-        self.along = np.abs(rotated).sum(1) / (np.sqrt(dim) * self.length)
+        bits = np.zeros((n, -(-dim // 64) * 64), bool)
+        bits[:, :dim] = rotated > 0
+        length = np.linalg.norm(vectors, axis=1)
+        along = np.abs(rotated).sum(1) / (np.sqrt(dim) * length)
+        return cls(dim, np.packbits(bits, axis=1, bitorder="little").view(np.uint64), length / along, along)
 
     def estimate(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Estimated inner products, a row per query, and how far the truth may be from them."""
@@ -63,16 +76,15 @@ class Codes:
         width = np.maximum(np.ptp(rotated, axis=1, keepdims=True), 1e-300) / ((1 << QUERY_BITS) - 1)
         levels = np.zeros((n, self.words * 64), np.int64)
         levels[:, :dim] = np.rint((rotated - low) / width)
-        common = np.zeros((n, len(self.length)), np.int32)
+        common = np.zeros((n, len(self.scale)), np.int32)
         for b in range(QUERY_BITS):  # a plane of the queries' bits at a time
             plane = np.packbits(levels >> b & 1 > 0, axis=1, bitorder="little").view(np.uint64)
             for w in range(self.words):
                 common += np.bitwise_count(self.packed[:, w] & plane[:, w, None]).astype(np.int32) << b
         # <code, query>, the code's signs being +-1 / sqrt(dim) and the query at its levels
         product = (2 * width * common + 2 * low * self.ones - width * levels.sum(1, keepdims=True) - low * dim) / np.sqrt(dim)
-        scale = self.length / self.along
         spread = (1 - self.along**2).clip(0) / max(1, dim - 1) * (queries**2).sum(1, keepdims=True) + width**2 / 12
-        return product * scale, EPSILON * scale * np.sqrt(spread)
+        return product * self.scale, EPSILON * self.scale * np.sqrt(spread)
 
 
 def exact(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
@@ -117,12 +129,27 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & (F.size(vector) > 0) & finite & F.exists(vector, lambda x: x != 0)
 
 
-def _once(rows: pd.DataFrame) -> pd.DataFrame:
-    """Without repeats of a row; rows of one key are in one block."""
-    if rows["id"].is_unique:
-        return rows
-    parts = pd.DataFrame({"id": rows["id"], "v": rows["v"].map(lambda v: (np.asarray(v) + 0.0).tobytes())})
-    return rows[~parts.duplicated()]
+def encoded(rows: DataFrame, kind: str) -> DataFrame:
+    """Rows (id, v, asks) with each vector packed in its own precision, and its code and correction scalars."""
+    schema = "id bigint, dim int, v binary, code binary, scale double, along double, asks boolean"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+            for dim in np.unique(sizes):
+                own = np.flatnonzero(sizes == dim)
+                part = batch.take(pa.array(own))
+                vectors = np.asarray(part.column(1).flatten()).reshape(len(own), dim).astype(kind) + 0.0  # no negative zeros: equal vectors are equal bytes
+                codes = Codes.of(vectors.astype(float))
+                packed = [pa.array([x.tobytes() for x in rows], pa.binary()) for rows in (vectors.astype(kind), codes.packed)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.full(len(own), dim, np.int32)), *packed, pa.array(codes.scale), pa.array(codes.along), part.column(2)], names=["id", "dim", "v", "code", "scale", "along", "asks"])
+
+    return rows.mapInArrow(run, schema)
+
+
+def _vectors(column: pd.Series, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column), kind).reshape(len(column), -1).astype(float)
 
 
 def search(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding", k: int = K, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
@@ -134,16 +161,19 @@ def search(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "
     empty table gives no row. Of equal vectors only the k + 1 smallest keys can be among the nearest; the
     others are put aside first, by a limit within the window that is applied before the shuffle too.
     """
-    rows = df.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v"), is_query.alias("asks"))
-    rows = materialize(rows.where(usable(F.col("v"))), "vectors")
-    same = Window.partitionBy("v").orderBy("id")
-    base = materialize(rows.select("id", "v").withColumn("copy", F.dense_rank().over(same)).where(F.col("copy") <= k + 1).drop("copy"), "vectors-apart")
-    queries = rows.where("asks").select("id", "v")
-    n_base, n_queries = blocks(base.count(), block_rows), blocks(queries.count(), query_rows)
+    kind = "<f4" if dict(df.dtypes)[vector] == "array<float>" else "<f8"
+    array = F.col(vector) if kind == "<f4" else F.col(vector).cast("array<double>")
+    rows = df.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("id"), array.alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
+    coded = materialize(encoded(rows.where(usable(F.col("v"))), kind), "vectors")
+    same = Window.partitionBy("v", "dim").orderBy("id")
+    base = materialize(coded.drop("asks").withColumn("copy", F.dense_rank().over(same)).where(F.col("copy") <= k + 1).drop("copy"), "vectors-apart")
+    queries = coded.where("asks").select("id", "v", "dim")
+    size = base.count()
+    n_base, n_queries = max(blocks(size, block_rows), min(LEAST_BLOCKS, blocks(size, SMALL_BLOCK))), blocks(queries.count(), query_rows)
 
     def dealt(side: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
         mark = F.pmod(F.xxhash64("id"), F.lit(n_own)).cast("int")
-        return side.select("id", "v", F.size("v").alias("dim"), mark.alias(own), F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))).alias(other))
+        return side.withColumn(own, mark).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))))
 
     left = dealt(base, "b", n_base, "q", n_queries).groupBy("dim", "b", "q")
     right = dealt(queries, "q", n_queries, "b", n_base).groupBy("dim", "b", "q")
@@ -151,11 +181,12 @@ def search(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "
     def meet(own: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple[np.ndarray, ...]] = []
         if len(own) and len(asked):
-            own = _once(own)
-            ids, vectors = own["id"].to_numpy(), np.stack(own["v"].to_numpy())
-            codes = Codes(vectors)
+            own, asked = own.drop_duplicates(["id", "v"]), asked.drop_duplicates(["id", "v"])  # rows of one key are in one block
+            ids, vectors = own["id"].to_numpy(), _vectors(own["v"], kind)
+            packed = np.frombuffer(b"".join(own["code"]), np.uint64).reshape(len(own), -1)
+            codes = Codes(vectors.shape[1], packed, own["scale"].to_numpy(), own["along"].to_numpy())
             query_ids = asked["id"].to_numpy()
-            for q, (near, scores) in zip(query_ids, search_block(ids, codes, vectors, query_ids, np.stack(asked["v"].to_numpy()), k), strict=True):
+            for q, (near, scores) in zip(query_ids, search_block(ids, codes, vectors, query_ids, _vectors(asked["v"], kind), k), strict=True):
                 found.append((np.full(len(near), q), near, scores))
         columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
