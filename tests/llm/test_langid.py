@@ -1,4 +1,7 @@
+import random
+import unicodedata
 import zlib
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -73,4 +76,72 @@ def test_edge_cases(spark):
 
 def test_long_texts_are_whole():
     text = "word " * 30_000 + "zzq"
-    assert sum(len(langid.gram_hashes(p, 3)) for p in langid.pieces_of(text)) == 4 * 30_000 + 3
+    assert sum(len(g) for k, g in enumerate(langid.grams_of(text)) if k % 3 == 1) == 4 * 30_000 + 3
+
+
+def _brute_grams(text):
+    """All n-grams by definition: words are letters and the marks after them."""
+    words, word = [], ""
+    for c in text:
+        mark = unicodedata.category(c) in ("Mn", "Mc", "Me") or c in "\u200c\u200d"
+        if c.isalpha() or mark and word:
+            word += c if mark or len(c.lower()) > 1 else c.lower()
+        elif word:
+            words.append(word)
+            word = ""
+    words += [word] if word else []
+    return Counter(f" {w} "[i : i + n] for w in words for n in langid.ORDERS for i in range(len(w) + 3 - n))
+
+
+def _hash(gram):
+    return int(langid.gram_hashes(np.array([ord(c) for c in gram], np.uint32), len(gram))[0])
+
+
+def test_grams_do_not_depend_on_where_pieces_are_cut(monkeypatch):
+    rng = random.Random(5)
+    pool = ["a", "É", "न", "म", "स", "्", "ते", "ท", "ี", "่", " ", ".", "1", "\u200d", "İ", "中", "文", "\u0301", "-", "\n"]
+    for piece in (1, 2, 3, 5, 1000):
+        monkeypatch.setattr(langid, "_PIECE", piece)
+        for _ in range(60):
+            text = "".join(rng.choice(pool) for _ in range(rng.randrange(1, 30)))
+            want = Counter()
+            for gram, n in _brute_grams(text).items():
+                want[_hash(gram)] += n
+            assert Counter(h for part in langid.grams_of(text) for h in part.tolist()) == want, (piece, text)
+
+
+def test_long_text_without_spaces():
+    text = "".join(chr(0x4E00 + i * 7919 % 20_000) for i in range(200_000))
+    assert [sum(len(g) for k, g in enumerate(langid.grams_of(text)) if k % 3 == j) for j in range(3)] == [200_001, 200_000, 199_999]
+
+
+def test_marks_are_part_of_words():
+    assert "".join(map(chr, langid.letters_of("नमस्ते ́x"))) == " नमस्ते x "
+
+
+def test_three_hundred_languages_and_every_gram(spark):
+    letters = "abcdefghijklmnopqrst"
+    rows = [(k, f"{letters[k // 20]}{letters[k % 20]}z{letters[k % 20]} " * 4, f"l{k:03d}") for k in range(300)]
+    own = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.col("doc_id"))
+    assert len(own.langs) == 300 and own.masks.shape[1] == 5
+    assert sum(own.predict(t)[0] == name for _, t, name in rows) >= 298
+    whole = "".join(chr(0x4E00 + i) for i in range(19_000))  # more n-grams than any fixed number would hold
+    one = langid.fit(spark.createDataFrame([(1, whole, "zh"), (2, "abc", "xx")], "doc_id long, text string, lang string"), F.col("doc_id"))
+    assert all((one.containing(g) & 2 == 2).all() for g in langid.grams_of(whole))
+
+
+def test_equal_labelled_rows_are_learned_from(spark):
+    df = spark.createDataFrame([(1, "the same row", "en")] * 50, "doc_id long, text string, lang string")
+    assert langid.fit(df, F.col("doc_id"), sample_rows=1).predict("same")[0] == "en"
+
+
+def test_fit_against_brute_force(spark):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("the house and the garden", "en"), ("das Haus und der Garten", "de"), ("la maison et le jardin", "fr"), ("the old man", "en")])]
+    own = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.col("doc_id"))
+    counts = {}
+    for _, t, lang in rows:
+        counts.setdefault(lang, Counter()).update(_brute_grams(t))
+    share = {lang: {g: n / sum(c.values()) for g, n in c.items()} for lang, c in counts.items()}
+    kept = {lang: [g for g, x in c.items() if x >= langid.KEEP_RATIO * max(o.get(g, 0) for o in share.values())] for lang, c in share.items()}
+    want = langid.build({lang: np.array([_hash(g) for g in grams], np.uint64) for lang, grams in kept.items()})
+    assert own.langs == want.langs and (own.masks == want.masks).all() and (own.false_rate == want.false_rate).all()
