@@ -97,7 +97,7 @@ def test_graph_against_brute_force(spark):
 
 
 def test_contexts_find_unseen_forms(spark):
-    rows = [(i, f"Hello, write to user{i}@mail.example.org now", "c") for i in range(12)]
+    rows = [(i, f"Hello, write to user{i}@mail.example.org now", "c") for i in range(60)]
     rows += [(100, "é please write to someone@localhost today", "c"), (100, "é please write to someone@localhost today", "c"), (101, "we saw someone@localhost", "c"), (102, "look at other@localhost", "c"), (103, "write to nobody", "c"), (None, None, "c")]
     df = spark.createDataFrame(rows, "doc_id long, text string, base string")
     got = {r.doc_id: r.spans for r in pii.report(pii.find(df, carry=["doc_id"]), ["doc_id"]).collect()}
@@ -106,6 +106,34 @@ def test_contexts_find_unseen_forms(spark):
     assert pii.find(df.limit(0), carry=["doc_id"]).count() == 0
 
 
+def _spans(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.spans for r in pii.report(pii.find(df, carry=["doc_id"]), ["doc_id"]).orderBy("doc_id").collect()]
+
+
+SEEDED = [f"Hello, write to user{i}@mail.example.org now" for i in range(60)]
+
+
+def test_identifiers_of_any_length_and_late_digits(spark):
+    names = ["x" * 300 + "@host", "y" * 200 + "@" + "z" * 300, "@" + "q" * 90_000, "a." * 500 + "@b"]
+    got = _spans(spark, [*SEEDED, *(f"please write to {n} today" for n in names), *(f"please write to {n}." for n in names)])[len(SEEDED) :]
+    assert got == [f"ctx_email:16:{16 + len(n)}" for n in names] * 2
+
+
+def test_lists_and_earlier_entities_lend_patterns(spark):
+    lists = [f"mail a{i}@b.com or c{i}@d.org" for i in range(60)]
+    assert _spans(spark, [*lists, "mail z@b.com or x@localhost", "mail 12/34/56 or y@localhost"])[-2] == "email:5:12,ctx_email:16:27"
+    rows = [f"to: a{i}@b.com, c{i}@d.org, e{i}@f.net" for i in range(60)]
+    assert _spans(spark, [*rows, "to: a@b.com, x@localhost"])[-1] == "email:4:11,ctx_email:13:24"
+
+
+def test_words_before_of_any_length(spark):
+    long, other = "w" * 5000, "w" * 4999 + "v"
+    seeds = [f"see {long} {long} a{i}@b.com" for i in range(30)]
+    at = 4 + 2 * 5001
+    assert _spans(spark, [*seeds, f"see {long} {long} x@localhost", f"see {other} {long} z@localhost"])[-2:] == [f"ctx_email:{at}:{at + 11}", ""]
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}

@@ -1,6 +1,6 @@
 """Personal data, native: fixed forms, and contextual extraction bootstrapped from them.
 
-The fixed forms are seeds. The two words before an entity are a lexical pattern. Patterns and values
+The fixed forms are seeds. The two words before an entity, an earlier entity counting as one, are a lexical pattern. Patterns and values
 form a graph that Spark scores in rounds: a pattern's confidence for a kind is the share of its
 values that are known to be of the kind, an unknown value's is one less the product of its patterns'
 doubts. Confident patterns thus find identifiers of an unseen form, and these count for the next round.
@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.functions.text import bound
 from textloom.llm.common import attach, kept, materialize
 from textloom.llm.spans import add_spans, count, listed, narrow, overlaps
 
@@ -22,8 +23,9 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}+"
 CARD = r"[0-9](?:[\x20-]?[0-9]){11,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: A string with a digit or an at sign among its first letters: what may be an identifier of an unseen form.
-LIKE = r"(?<![A-Za-z0-9@._:+-])(?=[A-Za-z._:+-]{0,48}[0-9@])[A-Za-z0-9@._:+-]{6,128}"
+#: A whole run of these characters, at any length, with a digit or an at sign anywhere in it, up to its last letter or
+#: digit: what may be an identifier of an unseen form.
+LIKE = r"(?<![A-Za-z0-9@._:+-])(?=[A-Za-z._:+-]*+[0-9@])[A-Za-z0-9@._:+-]{5,}[A-Za-z0-9]"
 
 ROUNDS = 3
 #: Distinct known values that a pattern needs.
@@ -31,8 +33,12 @@ SUPPORT = 5
 #: Share of a pattern's values that must be known to be of the kind.
 PATTERN_CONFIDENCE = 0.8
 VALUE_CONFIDENCE = 0.9
-#: Letters before an entity in which its pattern is looked for.
-CONTEXT = 80
+#: Patterns of more letters are kept as their first ones and a digest of the whole, so that equal ones stay equal.
+PATTERN_LETTERS = 80
+#: What stands for an earlier entity in a pattern, and for the start of the text.
+ENTITY, START = "<id>", "^"
+#: What may stand between the words and the entity.
+_OPENERS = " \t\n\r\x0b\x0c(\"'[<"
 
 
 def _digits(value: Column) -> Column:
@@ -66,13 +72,25 @@ def with_base(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn("phone", F.filter("phone", lambda s: F.length(_digits(s["value"])).between(9, 15)))
 
 
-def pattern(gap: Column) -> Column:
-    """The last two words before an entity, lower case, digits as 0; null without two words.
+def _words(gap: Column) -> Column:
+    bare = F.rtrim(F.ltrim(gap, F.lit(_OPENERS)), F.lit(_OPENERS))
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, r"\s+"))
 
-    ``gap`` reaches back to the match before, at most.
-    """
-    words = F.regexp_extract(F.right(gap, F.lit(CONTEXT)), r"(\S{1,40}[\s]+\S{1,40})[\s(\"'\[<]*$", 1)
-    return F.when(words != "", F.lower(F.regexp_replace(F.regexp_replace(words, "[0-9]", "0"), r"\s+", " ")))
+
+def with_pattern(spans: Column) -> Column:
+    """Spans (of one form, in order) with the pattern of each: the two words before it, of any length, in lower case with
+    digits as 0. The match before counts as one word, whatever it is, and the start of the text as two."""
+    start, entity = F.array(F.lit(START), F.lit(START)), F.array(F.lit(ENTITY))
+
+    def own(s: Column, i: Column) -> Column:
+        last = F.get(spans, i - 1)["gap"]
+        before = F.when(i == 0, start).otherwise(F.concat(F.array(F.lit(START)), F.slice(_words(last), -1, 1), entity))
+        near = bound(_words(s["gap"]), lambda w: F.when(F.size(w) >= 2, F.slice(w, -2, 2)).otherwise(F.slice(F.concat(before, w), -2, 2)))
+        text = F.lower(F.regexp_replace(F.array_join(near, " "), "[0-9]", "0"))
+        kept = bound(text, lambda t: F.when(F.length(t) > PATTERN_LETTERS, F.concat(F.left(t, F.lit(PATTERN_LETTERS)), F.lit("#"), F.sha1(t.cast("binary")))).otherwise(t))
+        return F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["value"].alias("value"), kept.alias("pattern"))
+
+    return F.transform(spans, own)
 
 
 def shapes(value: Column) -> Column:
@@ -80,9 +98,9 @@ def shapes(value: Column) -> Column:
     digits = F.length(_digits(value))
     return F.array(
         F.contains(value, F.lit("@")),
-        value.rlike(r"^[0-9A-Fa-f]+([.:]+[0-9A-Fa-f]+){2,}$") & (digits >= 3),
-        (digits >= 10) & value.rlike("^[0-9.:-]+$"),
-        (digits >= 7) & value.rlike("^[0-9+.-]+$"),
+        value.rlike(r"^[0-9A-Fa-f]++(?:[.:]++[0-9A-Fa-f]++){2,}+$") & (digits >= 3),
+        (digits >= 10) & value.rlike("^[0-9.:-]++$"),
+        (digits >= 7) & value.rlike("^[0-9+.-]++$"),
     )
 
 
@@ -130,15 +148,14 @@ def find(df: DataFrame, text: str = "text", carry: list[str] | None = None, **op
     own = df.select(*(F.col(c).alias(f"__c{i}") for i, c in enumerate(carry)), F.coalesce(F.col(text), F.lit("")).alias("__text"))
     own = with_base(own, "__text")
     own = add_spans(own, "__text", "like", LIKE, BASE)
-    own = own.withColumn("seeds", F.concat("email", "ip", "card", "phone")).withColumn("base", narrow(F.col("seeds")))
-    free = F.filter("like", lambda s: ~overlaps(s, F.col("base")) & F.exists(shapes(s["value"]), lambda x: x))
-    own = own.withColumn("free", free)
-    in_context = F.transform(F.concat("seeds", "free"), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["value"].alias("value"), pattern(s["gap"]).alias("pattern")))
+    own = own.withColumn("base", narrow(F.concat("email", "ip", "card", "phone")))
+    free = F.filter(with_pattern(F.col("like")), lambda s: ~overlaps(s, F.col("base")) & F.exists(shapes(s["value"]), lambda x: x))
+    in_context = F.concat(*(with_pattern(F.col(k)) for k in ("email", "ip", "card", "phone")), free)
     carried = [f"__c{i}" for i in range(len(carry))]
     # Rows are told apart by a hash of all that is carried and the text; rows that agree in both have equal spans.
     scanned = materialize(own.select(*carried, F.xxhash64(*carried, "__text").alias("__row"), "base", in_context.alias("entities")), "pii")
     entities = scanned.select("__row", F.explode("entities").alias("e")).select("__row", "e.*")
-    graph = entities.where(F.col("pattern").isNotNull()).groupBy("pattern", "value").agg(F.min(F.when(F.col("kind") < BASE, F.col("kind"))).alias("kind"))
+    graph = entities.groupBy("pattern", "value").agg(F.min(F.when(F.col("kind") < BASE, F.col("kind"))).alias("kind"))
     found = bootstrap(graph.withColumn("shapes", shapes(F.col("value"))), **options)
     if found is None:
         full = scanned.withColumn("spans", F.col("base"))
