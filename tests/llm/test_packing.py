@@ -79,6 +79,54 @@ def test_every_constraint_holds(histogram, choose, documents, cost):
     _bins(histogram, Capacity(64, documents, cost, (1, 0.3, 0.2), choose))
 
 
+def _brute(histogram, capacity):
+    """Vector best fit bin by bin: the contents of all bins, each a sorted tuple of lengths."""
+    caps, bins = (capacity.tokens, capacity.documents, capacity.cost), []
+    for length in sorted(histogram, reverse=True):
+        item, todo = (length, 1, length * length), histogram[length]
+        while todo:
+            best = None
+            for b in bins:
+                if all(r >= x for r, x in zip(b[0], item, strict=True)):
+                    share, part = [r / c for r, c in zip(b[0], caps, strict=True)], [x / c for x, c in zip(item, caps, strict=True)]
+                    terms = zip(capacity.weights, share, part, strict=True)
+                    score = sum(w * (s - p) ** 2 for w, s, p in terms) if capacity.choose == "norm" else -sum(w * s * p for w, s, p in terms)
+                    if best is None or score < best[0] - 1e-12:
+                        best = (score, b)
+            if best is None:
+                bins.append((list(caps), []))
+                best = (0, bins[-1])
+            room, held = best[1]
+            n = min(todo, *(r // x for r, x in zip(room, item, strict=True)))
+            for k in range(3):
+                room[k] -= n * item[k]
+            held += [length] * n
+            todo -= n
+    return Counter(tuple(sorted(held)) for _, held in bins)
+
+
+def _contents(histogram, capacity):
+    plan, found = plan_bins(histogram, capacity), defaultdict(list)
+    for length, n in histogram.items():
+        for b in plan.place(np.full(n, length), np.arange(n))[0].tolist():
+            found[b].append(length)
+    return Counter(tuple(sorted(x)) for x in found.values())
+
+
+def test_every_capacity_changes_the_packing_as_bin_by_bin():
+    rng = random.Random(9)
+    changed = Counter()
+    for choose in ("norm", "dot"):
+        for _ in range(40):
+            histogram = {rng.randrange(1, 40): rng.randrange(1, 9) for _ in range(12)}
+            plain = Capacity(64, 64, 64 * 64, (1.0, 0.0, 0.0), choose)
+            for name, own in {"documents": Capacity(64, 6, 64 * 64, (1.0, 0.011, 0.017), choose), "cost": Capacity(64, 64, 1700, (1.0, 0.011, 0.017), choose), "document weight": Capacity(64, 12, 64 * 64, (1.0, 2.0, 0.013), choose), "cost weight": Capacity(64, 64, 64 * 64, (1.0, 0.013, 4.0), choose), "all": Capacity(64, 12, 2000, (1.0, 0.25, 0.25), choose)}.items():
+                got = _contents(histogram, own)
+                assert got == _brute(histogram, own), (name, histogram)
+                changed[name] += got != _contents(histogram, plain)
+    assert all(n >= 5 for n in changed.values()) and len(changed) == 5
+
+
 def test_attention_cost_binds():
     assert _bins({32: 10}, Capacity(64, 64, 64 * 64)) == 5
     assert _bins({32: 10}, Capacity(64, 64, 32 * 32)) == 10

@@ -31,14 +31,15 @@ RANK_ROWS = 4096
 class Capacity:
     """What one sequence holds. Attention cost is the sum of squared lengths (block-diagonal attention).
 
-    The defaults for documents and cost can never bind before the tokens do.
+    The default capacities for documents and cost can never bind before the tokens do, as a piece has a token at least
+    and squares sum to no more than the sum's square; their residuals count in the choice of bins all the same.
     """
 
     tokens: int = TOKENS
     documents: int = TOKENS
     cost: int = TOKENS * TOKENS
     #: How tokens, documents and cost count when bins are compared.
-    weights: tuple[float, float, float] = (1.0, 0.0, 0.0)
+    weights: tuple[float, float, float] = (1.0, 0.25, 0.25)
     #: "norm": the bin with the smallest weighted residual after the piece; "dot": the largest weighted product of piece and residual.
     choose: str = "norm"
 
@@ -157,9 +158,10 @@ def cut(n: int, tokens: int) -> list[tuple[int, int]]:
 
 
 def token_pieces(df: DataFrame, tokenizer: str, tokens: int = TOKENS, text: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """A row per piece: carried columns, piece, start, length, ids_crc32. A null text has its end id alone.
+    """A row per piece: carried columns, piece, start, length, ids_crc32. A null or empty text has its end id alone.
 
-    Ids are the tokenizers library's, added tokens in the text included.
+    Ids are the tokenizers library's, added tokens in the text included. Texts are cut whole at any length, repeated rows
+    each give their pieces, an empty table gives none; columns that aren't carried are left out whatever their names.
     """
     carry = kept(carry, "piece", "start", "length", "ids_crc32")
     narrow = df.select(*carry, F.coalesce(F.col(text), F.lit("")).alias("__text"))
