@@ -74,6 +74,27 @@ def test_links_against_brute_force(spark):
         assert all(len(g) == 1 for g in groups.values()) and len(set.union(*groups.values())) == len(groups)
 
 
+def test_tally_is_what_the_postings_hold():
+    rng = random.Random(8)
+    fps = np.array([sum(rng.choice((0, 1, 255)) << 8 * p for p in range(8)) for _ in range(300)], np.uint64)
+    own = fps.view(np.uint8).reshape(-1, 8)
+    same = (own[:, None, :] == own[None, :, :]).sum(-1)
+    assert (simhash.Postings(fps).tally(np.arange(40, 90)) == same[40:90]).all()
+    agree = fps & np.uint64(0xFFFFFF0000FFFFFF) | np.uint64(0x1234 << 24)
+    assert (simhash.Postings(agree, (3, 4)).tally(np.arange(300)) == simhash.Postings(agree).tally(np.arange(300))).all()
+
+
+def test_a_pair_below_the_least_tally_is_never_verified(monkeypatch):
+    a = np.uint64(0x0101010101010101)
+    fps = np.sort(np.array([a, a ^ np.uint64(0b111), a ^ np.uint64(0x0000000101010101), a ^ np.uint64(0x010101)], np.uint64))
+    seen = []
+    monkeypatch.setattr(simhash.np, "bitwise_count", lambda x, own=np.bitwise_count: (seen.append(len(x)), own(x))[1])
+    rows, members = simhash.Postings(fps).linked(np.arange(4))
+    tally = simhash.Postings(fps).tally(np.arange(4))
+    assert seen == [int((tally >= 5).sum())] and seen[0] < 16
+    assert {(int(i), int(j)) for i, j in zip(rows, members, strict=True)} == {(i, j) for i in range(4) for j in range(4) if bin(int(fps[i]) ^ int(fps[j])).count("1") <= 3}
+
+
 def test_forest_by_neighbours_agrees():
     rng = random.Random(4)
     base = rng.getrandbits(64) & ~0xFFFFFF

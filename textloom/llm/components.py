@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import attach, materialize
+from textloom.llm.common import attach, discard, materialize, scratch
 
 
 def _with_minimum(links: DataFrame, tag: str) -> DataFrame:
@@ -45,5 +45,8 @@ def components(links: DataFrame) -> DataFrame:
         mark = state.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == seen or not mark[0]:
             return state.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        seen = mark
-        state = materialize(small_star(materialize(large_star(state), "links")), "links")
+        seen, before = mark, state
+        with scratch(links.sparkSession) as keep:
+            state = materialize(small_star(materialize(large_star(state), "links")), "links")
+            keep.append(state)
+        discard(before)

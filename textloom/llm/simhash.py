@@ -2,9 +2,9 @@
 
 Of a fingerprint's eight bytes, two that differ in at most three bits share at least five. Any five
 positions hold one of a few sets of three (or four) positions, so an index on the values at these
-sets brings every such pair together. In a posting list the shared positional bytes of pairs are
-tallied, pairs with five or more kept, and verified by their differing bits; of a list only a
-spanning forest of its links goes out, never all pairs.
+sets brings every such pair together. A list's members are indexed by the bytes at the other positions; the postings
+that hold both of a pair are tallied, pairs with five or more shared positions kept, and verified by their differing
+bits. Of a list only a spanning forest of its links goes out, never all pairs.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import attach, kept, materialize
+from textloom.llm.common import attach, kept, materialize, scratch
 from textloom.llm.components import components
 
 SEED = 42
@@ -92,20 +92,51 @@ def postings(prints: DataFrame, size: int) -> DataFrame:
     return prints.select("fp", F.explode(F.array(*(key(i, s) for i, s in enumerate(index_sets(size))))).alias("key")).select("key", "fp")
 
 
-def near(fps: np.ndarray, others: np.ndarray, bits: int = BITS) -> np.ndarray:
-    """Which pairs link: tally of shared positional bytes first, differing bits of those that pass."""
-    xor = fps[:, None] ^ others[None, :]
-    tally = (xor.view(np.uint8).reshape(*xor.shape, 8) == 0).sum(-1)
-    passed = tally >= 8 - bits
-    passed[passed] = np.bitwise_count(xor[passed]) <= bits
-    return passed
+class Postings:
+    """The inverted index of a list of fingerprints: for each byte position, the members by value.
 
+    Positions in ``known`` are shared by all members, as they have the list in common, and aren't indexed.
+    """
 
-def forest(fps: np.ndarray, bits: int = BITS, block: int = 256) -> tuple[np.ndarray, np.ndarray]:
-    """(member, smallest member of its component) over a posting list of distinct sorted fingerprints."""
-    label = np.arange(len(fps))
-    linked = [(at, near(fps[at : at + block], fps, bits)) for at in range(0, len(fps), block)]
-    return _spread(fps, label, lambda lab: np.concatenate([np.where(m, lab, len(fps)).min(1) for _, m in linked]))
+    def __init__(self, fps: np.ndarray, known: tuple[int, ...] = ()):
+        self.fps, self.known = fps, len(known)
+        values = fps.view(np.uint8).reshape(-1, 8)
+        self.lists = []
+        for p in set(range(8)) - set(known):
+            own = values[:, p]
+            self.lists.append((own, np.argsort(own, kind="stable"), np.bincount(own, minlength=256)))
+
+    def tally(self, rows: np.ndarray) -> np.ndarray:
+        """For each of the rows and each member, the positions they share: a hit for every posting that holds both."""
+        n = len(self.fps)
+        hits = np.full(len(rows) * n, self.known, np.int64)
+        for values, members, sizes in self.lists:
+            own = values[rows]
+            length, start = sizes[own], (np.cumsum(sizes) - sizes)[own]
+            place = np.repeat(start - (np.cumsum(length) - length), length) + np.arange(length.sum())
+            hits += np.bincount(np.repeat(np.arange(len(rows)) * n, length) + members[place], minlength=len(hits))
+        return hits.reshape(len(rows), n)
+
+    def linked(self, rows: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+        """(row, member) of pairs that link: those with enough hits, once their differing bits are counted."""
+        at, member = np.nonzero(self.tally(rows) >= 8 - bits)
+        near = np.bitwise_count(self.fps[rows[at]] ^ self.fps[member]) <= bits
+        return rows[at[near]], member[near]
+
+
+def forest(fps: np.ndarray, known: tuple[int, ...] = (), bits: int = BITS, block: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """(member, smallest member of its component) over a posting list of distinct sorted fingerprints, which share the
+    ``known`` positions."""
+    index = Postings(fps, known)
+    found = [index.linked(np.arange(at, min(at + block, len(fps))), bits) for at in range(0, len(fps), block)]
+    rows, members = (np.concatenate(x) for x in zip(*found, strict=True))
+
+    def minimum(label: np.ndarray) -> np.ndarray:
+        low = label.copy()
+        np.minimum.at(low, rows, label[members])
+        return low
+
+    return _spread(fps, np.arange(len(fps)), minimum)
 
 
 def _spread(fps: np.ndarray, label: np.ndarray, minimum) -> tuple[np.ndarray, np.ndarray]:
@@ -167,10 +198,11 @@ def _dealt(postings: DataFrame) -> DataFrame:
 def links(prints: DataFrame, size: int | None = None, list_rows: int = LIST_ROWS) -> DataFrame:
     """Links (a, b) that connect what fingerprints within BITS bits connect. ``prints`` has distinct ``fp`` (bigint)."""
     size = size or index_size(prints.count())
+    first_sets = index_sets(size)
 
     def join_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, fps, long in _lists(batches, list_rows):
-            a, b = (fps, fps) if long else forest(np.sort(fps))
+        for key, fps, long in _lists(batches, list_rows):
+            a, b = (fps, fps) if long else forest(np.sort(fps), first_sets[int(key) >> 8 * size])
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
@@ -184,7 +216,8 @@ def links(prints: DataFrame, size: int | None = None, list_rows: int = LIST_ROWS
     def join_long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, fps, _ in _lists(batches, None):
             fps = np.sort(fps)
-            a, b = forest(fps) if len(fps) <= LIST_ROWS else forest_by_neighbours(fps, sets[int(key) >> 8 * SHARED])
+            shared = sets[int(key) >> 8 * SHARED]
+            a, b = forest(fps, shared) if len(fps) <= LIST_ROWS else forest_by_neighbours(fps, shared)
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
@@ -192,7 +225,11 @@ def links(prints: DataFrame, size: int | None = None, list_rows: int = LIST_ROWS
 
 
 def fingerprints(df: DataFrame, text: str = "text", carry: list[str] | None = None, size: int = SHINGLE) -> DataFrame:
-    """The carried columns and the fingerprint ``fp`` as a signed bigint. A null text is an empty one."""
+    """The carried columns and the fingerprint ``fp`` as a signed bigint, a row per row.
+
+    A null text is an empty one; it, and a text without words, has fingerprint 0. Texts are read whole at any length, equal
+    texts and repeated rows get equal fingerprints, an empty table gives no row; columns that aren't carried are left out.
+    """
     carry = kept(carry, "fp")
     narrow = df.select(*carry, F.coalesce(F.col(text), F.lit("")).alias("__text"))
     schema = ", ".join([*(f"`{c}` {t}" for c, t in narrow.dtypes if c != "__text"), "fp bigint"])
@@ -214,12 +251,14 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", list
     left out whatever their names; an empty table gives no row.
     """
     prints = materialize(fingerprints(df, text, [key]).withColumnRenamed(key, "__key"), "fingerprints")
-    nodes = materialize(prints.groupBy("fp").agg(F.min("__key").alias("least"), F.count("*").alias("n")), "nodes")
-    roots = components(links(nodes.select("fp"), list_rows=list_rows))
-    placed = nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "n", "least", F.coalesce("root", "fp").cast("string").alias("root"))
-    placed = materialize(placed, "placed")
-    classes = materialize(placed.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("members")), "classes")
-    named = attach(placed, classes, "root", "component_id", "members", F.col("fp"))
-    facts = materialize(named.select(F.col("fp").cast("string").alias("print"), "component_id", "n"), "named")
+    with scratch(df.sparkSession) as keep:
+        nodes = materialize(prints.groupBy("fp").agg(F.min("__key").alias("least"), F.count("*").alias("n")), "nodes")
+        roots = components(links(nodes.select("fp"), list_rows=list_rows))
+        placed = nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "n", "least", F.coalesce("root", "fp").cast("string").alias("root"))
+        placed = materialize(placed, "placed")
+        classes = materialize(placed.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("members")), "classes")
+        named = attach(placed, classes, "root", "component_id", "members", F.col("fp"))
+        facts = materialize(named.select(F.col("fp").cast("string").alias("print"), "component_id", "n"), "named")
+        keep.append(facts)
     joined = attach(prints.withColumn("print", F.col("fp").cast("string")), facts, "print", "component_id", "n", F.xxhash64("__key"))
     return joined.select(F.col("__key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
