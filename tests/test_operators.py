@@ -11,6 +11,7 @@ from textloom.operators.translate import NUMBER, RESULT, translate
 from textloom.plans import run as plans
 from textloom.plans import tools
 from textloom.sources.csv import append_csv, default_path, read_csv, write_csv
+from textloom.sources import store
 from textloom.streaming import stream
 
 
@@ -204,6 +205,79 @@ def test_csv_and_run_and_cli(spark, tmp_path):
     assert write_csv(back.limit(0), str(tmp_path / "empty")) == 0
 
 
+def test_resume_with_counters(spark, tmp_path):
+    source = tmp_path / "in.csv"
+    source.write_text("message,label\n" + "".join(f"{'   ' if i % 7 == 0 else 'text <A> ' + str(i)},{i % 2}\n" for i in range(50)), encoding="utf-8")
+    settings = dict(input_path=str(source), model_name="echo", input_chunk_size=4, checkpoint_interval=3)
+    names = ("rows_loaded", "rows_processed", "rows_dropped_empty", "rows_too_long_for_model", "rows_chunked", "chunks_completed", "validation_summary")
+    once = plans.run(spark, Config(output_path=str(tmp_path / "once"), progress_path=str(tmp_path / "once.json"), **settings))
+    config = Config(output_path=str(tmp_path / "out"), progress_path=str(tmp_path / "state.json"), report_path=str(tmp_path / "report.json"), **settings)
+    part = plans.run(spark, config, most_groups=2)
+    assert (part["rows_loaded"], part["resumed"], part["chunks_completed"]) == (24, False, 6) and (tmp_path / "state.json").exists()
+    # Killed in the third group after its output was written, but before the state was.
+    state = (tmp_path / "state.json").read_bytes()
+    plans.run(spark, config, most_groups=1)
+    (tmp_path / "state.json").write_bytes(state)
+    whole = plans.run(spark, config)
+    assert whole["resumed"] and not (tmp_path / "state.json").exists() and not (tmp_path / "state.json.tmp").exists()
+    assert {n: whole[n] for n in names} == {n: once[n] for n in names} and whole["rows_loaded"] == 50 and whole["rows_dropped_empty"] == 8
+    rows_of = lambda out: sorted(tuple(r) for r in read_csv(spark, str(tmp_path / out), number=None).select(NUMBER, "message", "status").collect())
+    assert rows_of("out") == rows_of("once") and len(rows_of("out")) == 42
+    # A state of other paths, or of a finished run, is ignored.
+    other = json.loads(state.decode("utf-8-sig"))
+    for change in ({"output_path": "elsewhere"}, {"input_path": "elsewhere"}, {"completed": True}):
+        (tmp_path / "state.json").write_text(json.dumps(other | change), encoding="utf-8-sig")
+        assert plans.load_progress(config) is None
+    assert not plans.run(spark, config)["resumed"] and len(rows_of("out")) == 42
+    with pytest.raises(ValueError, match="label"):
+        (tmp_path / "bad.csv").write_text("message\nx\n")
+        plans.run(spark, Config(input_path=str(tmp_path / "bad.csv"), model_name="echo", progress_path=str(tmp_path / "b.json"), output_path=str(tmp_path / "b")))
+
+
+def test_ragged_records_are_kept(spark, tmp_path):
+    source = tmp_path / "in.csv"
+    lines = ["id,text", "1,a", "2", '3,b,extra,"q, ""x"""', '4,"two\nlines"', '5,"a ""b"""', "6, spaced "]
+    source.write_text("\n".join(lines) + "\n", encoding="utf-8")
+    assert cli.main(["sample", "--input", str(source), "--rows", "6", "--output", str(tmp_path / "out")], spark) == "rows: 6"
+    parts = sorted((tmp_path / "out").glob("part-*"))
+    assert "".join(p.read_text(encoding="utf-8") for p in parts) == "\n".join(lines) + "\n"
+    assert cli.main(["sample", "--input", str(source), "--rows", "2", "--output", str(tmp_path / "out")], spark) == "rows: 2"
+
+
+def test_number_by_key_and_counts_by_column(spark, tmp_path):
+    df = spark.createDataFrame([(i * 7 % 50, i, "x" * i) for i in range(50)] + [(None, 99, "n")], "k int, v int, payload string").repartition(5)
+    got = rows.number(df, ["k"], "n", key=["k"]).orderBy("n").collect()
+    assert got[0].v == 99 and [r.k for r in got[1:]] == list(range(50)) and [r.n for r in got] == list(range(1, 52))
+    stream.process(spark, stream.file_stream(spark, _written(df, tmp_path / "in"), "k int, v int, payload string"), lambda b: b.withColumn("odd", F.col("v") % 2), str(tmp_path / "csv"), str(tmp_path / "state"), "csv", header="true")
+    found = stream.totals(spark, str(tmp_path / "csv"), "csv", by="odd", header="true").collect()
+    assert sum(r.rows for r in found) == 51 and {r.odd for r in found} == {"0", "1"}
+
+
+def _written(df, path):
+    df.write.parquet(str(path))
+    return str(path)
+
+
+def test_tables_are_deleted(spark):
+    first = store.written(spark.range(3), "t")
+    with store.scratch(spark) as keep:
+        with store.scratch(spark) as inner:
+            a, b = store.written(spark.range(4), "t"), store.written(spark.range(5), "t")
+            inner.append(a)
+        with pytest.raises(Exception):
+            b.count()
+        c = store.written(spark.range(6), "t")
+        keep.append(c)
+        assert a.count() == 4
+    with pytest.raises(Exception):
+        a.count()
+    assert c.count() == 6 and first.count() == 3
+    store.discard(c)
+    store.release(spark)
+    with pytest.raises(Exception):
+        first.count()
+
+
 def test_stream_resumes_and_writes_once(spark, tmp_path):
     folder, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     parts = spark.range(30).select(F.col("id"), F.lit("x").alias("message"))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import uuid
+import dataclasses
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,9 +14,10 @@ from textloom.functions import emoji, text, tokens
 from textloom.functions.merge import with_merged
 from textloom.operators import combine, metrics, qe, rows, validate
 from textloom.operators.translate import NUMBER, prepare, translate
+from textloom.plans import run as runs
 from textloom.plans import tools
-from textloom.sources.csv import read_csv, write_csv
-from textloom.sources.store import shared_folder
+from textloom.sources.csv import read_csv, read_records, write_csv, write_records
+from textloom.sources.store import new_path
 from textloom.streaming import stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,7 +93,7 @@ _PREPARED = f"""{_MESSAGES}, kept AS (SELECT * FROM messages WHERE {_strip('mess
 
 
 def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rows.number(messages(spark, sf_dir), ["row_id"])
+    return rows.number(messages(spark, sf_dir), ["row_id"], key=["row_id"])
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +113,7 @@ def null_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_MESSAGES} SELECT row_id, row_number() OVER (ORDER BY row_id) AS input_row_number FROM messages")
 def row_number(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return numbered(spark, sf_dir).select("row_id", NUMBER)
+    return rows.number(messages(spark, sf_dir).select("row_id"), ["row_id"])
 
 
 @query("SELECT event_id, row_number() OVER (ORDER BY event_type, event_id DESC) AS n FROM events")
@@ -294,8 +296,9 @@ _CHUNKED = f"""{_PREPARED}, numbered AS (SELECT *, row_number() OVER (ORDER BY r
 
 
 def _units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = prepare(numbered(spark, sf_dir), CONFIG).where(F.col("route") == "normal")
-    return own.select("row_id", F.col("token_count").alias("tokens"), F.col(NUMBER).alias("n"), rows.chunk_of(NUMBER, 500).alias("chunk"))
+    own = prepared(spark, sf_dir).where(F.col("route") == "normal").select("row_id", F.col("token_count").alias("tokens"))
+    numbers = rows.number(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id")), ["row_id"], "n")
+    return own.join(numbers, "row_id").withColumn("chunk", rows.chunk_of("n", 500))
 
 
 @query(f"WITH {_CHUNKED} SELECT row_id, CAST(row_number() OVER (PARTITION BY chunk ORDER BY tokens, n) AS INT) AS position FROM units")
@@ -446,9 +449,91 @@ def translate_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return translate(numbered(spark, sf_dir), Config(model_name="forgetful", sort_batches_by_length=True, chunk_token_limit=90, chunk_overlap_tokens=10)).select("row_id", "status", "was_chunked", "chunk_count")
 
 
+@query(f"""WITH {_PREPARED}, done AS (SELECT *, route IN ('normal', 'chunked') AND contains(message, '<EMAIL_ADDRESS>') AS failed FROM routed)
+    SELECT row_id, CASE WHEN failed THEN 'translation_error' WHEN route = 'normal' THEN 'ok' WHEN route = 'chunked' THEN 'ok_chunked' ELSE route END AS status, route = 'chunked' AND NOT failed AS was_chunked,
+        CASE WHEN failed THEN concat(CASE route WHEN 'normal' THEN 'Batch' ELSE 'Chunked' END, ' translation failed: unknown placeholder') END AS validation_error, 'fragile' AS model_name, 'en' AS source_lang, CAST(NULL AS VARCHAR) AS target_lang
+    FROM done WHERE NOT route LIKE 'skipped%'""")
+def failure_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model that fails on some texts: the run goes on, and says of each row what came of it, with the run's constants."""
+    done = translate(numbered(spark, sf_dir), Config(model_name="fragile", batch_size=1, source_lang="en"))
+    return done.where(~F.col("status").startswith("skipped")).select("row_id", "status", "was_chunked", "validation_error", "model_name", "source_lang", "target_lang")
+
+
+@query(_window_sql(160, 0) + " WHERE len(w) > 0")
+def hard_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(tokens.hard_split(text.words(F.col("text")), 160)).alias("i", "w"))
+    return own.select("doc_id", "i", F.col("w.start").alias("first"), F.col("w.end").alias("past"), F.md5("w.text").alias("digest"))
+
+
+_SPELLINGS = (" Yes", "NO", "on\t", "Off", "TRUE", "false", "1", "0", "y", "N ", "perhaps", "")
+
+
+@query(f"SELECT event_id, list_extract([true, false, true, false, true, false, true, false, true, false, NULL, NULL], CAST(event_id % {len(_SPELLINGS)} + 1 AS INT)) AS flag FROM events")
+def parse_switches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spelled = F.get(F.array(*(F.lit(x) for x in _SPELLINGS)), (F.col("event_id") % len(_SPELLINGS)).cast("int"))
+    return table(spark, sf_dir, "events").select("event_id", text.switch(spelled).alias("flag"))
+
+
+@query(f"WITH {_QUALITY} SELECT row_id, round(s, 6) AS qe_score, {_LABEL} AS qe_label, CASE WHEN s IS NOT NULL THEN 'textloom.operators.qe:length_scorer' END AS qe_backend, CASE WHEN s IS NOT NULL THEN 'any' END AS qe_model_name FROM scored")
+def qe_plugged_in(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate with a scorer in Python, made on the workers by its name."""
+    own = qe.with_quality(_judged(spark, sf_dir), backend="textloom.operators.qe:length_scorer", model_name="any")
+    return own.select("row_id", F.round("qe_score", 6).alias("qe_score"), "qe_label", "qe_backend", "qe_model_name")
+
+
+@query(f"WITH {_JUDGED} SELECT row_id, 'old' AS qe_label_input, {_RATIO.replace('length(translated_text)', 'length(coalesce(translated_text, {q}))').format(q=chr(39) * 2)} AS qe_score FROM judged")
+def qe_input_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that has quality columns of its own already, and no status."""
+    own = _judged(spark, sf_dir).drop("status").withColumn("qe_label", F.lit("old"))
+    return qe.score_combined(own).select("row_id", "qe_label_input", "qe_score")
+
+
+@query("""WITH n AS (SELECT text, row_number() OVER (ORDER BY doc_id) AS a, row_number() OVER (ORDER BY doc_id DESC) AS b FROM documents)
+    SELECT x.a AS input_row_number, least(length(x.text), length(y.text)) / CAST(greatest(length(x.text), length(y.text), 1) AS DOUBLE) AS qe_score FROM n x JOIN n y ON x.a = y.b WHERE x.a <= 50""")
+def qe_paired_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides limited before they are paired by position."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("message"))
+    sides = [rows.head(rows.number(docs, [by], key=["doc_id"]), 50) for by in ("doc_id", F.desc("doc_id"))]
+    return qe.score_paired(*sides).select(NUMBER, "qe_score")
+
+
+@query(f"""WITH {_JUDGED} SELECT s.status, count(j.row_id) AS n FROM (SELECT unnest(['{"', '".join(validate.STATUSES)}']) AS status) s LEFT JOIN judged j ON j.status = s.status GROUP BY s.status""")
+def merged_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status counts of two halves of a run, added up."""
+    first, second = (metrics.status_counts(_judged(spark, sf_dir).where(F.col("label") == half)) for half in (0, 1))
+    return metrics.merged(first, second)
+
+
+@query(f"""WITH {_PREPARED}, done AS (SELECT CASE route WHEN 'normal' THEN 'ok' WHEN 'chunked' THEN 'ok_chunked' ELSE route END AS status FROM routed), names AS (SELECT unnest(['{"', '".join(validate.STATUSES)}']) AS status)
+    SELECT n.status, count(d.status) AS n, (SELECT count(*) FROM messages) AS rows_loaded, (SELECT count(*) FROM kept) AS rows_written, true AS resumed, CAST(ceil((SELECT count(*) FROM messages) / 100.0) AS BIGINT) AS chunks_completed FROM names n LEFT JOIN done d ON d.status = n.status GROUP BY n.status""")
+def resumed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over a CSV file that ends after its first group and is taken up again: counters of all, output once."""
+    base = new_path(spark, "run")
+    local = tempfile.mkdtemp()  # the state is the driver's own
+    write_csv(messages(spark, sf_dir).orderBy("row_id"), f"{base}/in")
+    config = Config(model_name="echo", input_path=f"{base}/in", output_path=f"{base}/out", progress_path=f"{local}/run.json", input_chunk_size=100, checkpoint_interval=1)
+    size = max(100, -(-table(spark, sf_dir, "documents").count() // 300) * 100)
+    config = dataclasses.replace(config, checkpoint_interval=size // 100)
+    runs.run(spark, config, most_groups=1)
+    report = runs.run(spark, config)
+    counts = [(k, n, report["rows_loaded"], read_csv(spark, f"{base}/out", number=None).count(), report["resumed"], report["chunks_completed"]) for k, n in report["validation_summary"].items()]
+    return spark.createDataFrame(counts, "status string, n bigint, rows_loaded bigint, rows_written bigint, resumed boolean, chunks_completed bigint")  # a row a status
+
+
+@query("SELECT concat(conv_id, ',', turn, repeat(',\"a, b\"', CAST(turn % 3 AS INT))) AS record, row_number() OVER (ORDER BY conv_id, turn) AS input_row_number FROM conversations")
+def ragged_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with too many and too few fields come back as they are."""
+    own = rows.number(table(spark, sf_dir, "conversations").select("conv_id", "turn"), ["conv_id", "turn"], "n")
+    lines = own.select(F.concat_ws(",", "conv_id", "turn").alias("line"), "turn", "n").select(F.concat("line", F.repeat(F.lit(',"a, b"'), (F.col("turn") % 3).cast("int"))).alias("record"), "n")
+    first, second = new_path(spark, "ragged"), new_path(spark, "ragged")
+    write_records("conv_id,turn,note", lines, first, "n")
+    write_records(*read_records(spark, first), second)
+    return read_records(spark, second)[1]
+
+
 @query("SELECT conv_id, turn, text FROM conversations")
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    path = new_path(spark, "csv")
     write_csv(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), path)
     return read_csv(spark, path, number=None).select(F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), "text")
 
@@ -456,7 +541,7 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_PREPARED} SELECT route, count(*) AS n FROM routed GROUP BY route")
 def stream_vs_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Routes counted from the output of a stream over the documents' files."""
-    base = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    base = new_path(spark, "stream")
     # A stream reads folders: the messages go into one first.
     written_to = f"{base}/in"
     messages(spark, sf_dir).withColumn(NUMBER, F.col("row_id")).write.parquet(written_to)

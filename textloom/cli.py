@@ -14,7 +14,7 @@ from textloom.operators.qe import score_combined, score_paired
 from textloom.operators.rows import head, require
 from textloom.plans import run as plans
 from textloom.plans import tools
-from textloom.sources.csv import default_path, read_csv, write_csv
+from textloom.sources.csv import default_path, read_csv, read_records, write_csv, write_records
 
 
 def parser() -> argparse.ArgumentParser:
@@ -74,7 +74,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     args = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("textloom").getOrCreate()
     if args.command == "translate":
-        config = Config.load({k: v for k, v in vars(args).items() if k != "command"})
+        given = {k: v for k, v in vars(args).items() if k != "command"}
+        config = Config.load(given | {"progress_path": given["progress_path"] or default_path(Config.load(given).output_path, "progress")})
         logging.basicConfig(level=config.log_level.upper(), filename=config.log_file)
         report = plans.run(spark, config)
         return f"rows: {report['rows_processed']}"
@@ -82,13 +83,12 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         return _qe(spark, args)
     kind = {"to-sample": "sample", "lowercase": "lowercase", "sample": "first"}[args.command]
     output = args.output or default_path(args.input, kind, getattr(args, "rows", None))
-    rows = read_csv(spark, args.input)
-    if args.command == "sample":
-        done = tools.first_rows(rows.orderBy("input_row_number"), args.rows)
-    else:
-        own = rows.orderBy("input_row_number").drop("input_row_number")
-        switches = {k: v for k, v in vars(args).items() if isinstance(v, bool)}
-        done = tools.sample_export(own, **switches) if args.command == "to-sample" else tools.lowercase_messages(own)
+    if args.command == "sample":  # records as they stand, whatever fields each has
+        header, records = read_records(spark, args.input)
+        return f"rows: {write_records(header, head(records, args.rows), output)}"
+    own = read_csv(spark, args.input).orderBy("input_row_number").drop("input_row_number")
+    switches = {k: v for k, v in vars(args).items() if isinstance(v, bool)}
+    done = tools.sample_export(own, **switches) if args.command == "to-sample" else tools.lowercase_messages(own)
     return f"rows: {write_csv(done, output)}"
 
 

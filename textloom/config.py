@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from dataclasses import MISSING, dataclass, fields
 from typing import Any
 
-_TRUE, _FALSE = frozenset("1 true yes y on".split()), frozenset("0 false no n off".split())
+from textloom.functions.text import SWITCH_OFF, SWITCH_ON
 
 
 def parse_bool(value: str | bool) -> bool:
@@ -15,9 +15,9 @@ def parse_bool(value: str | bool) -> bool:
     if isinstance(value, bool):
         return value
     low = value.strip().lower()
-    if low not in _TRUE | _FALSE:
+    if low not in SWITCH_ON + SWITCH_OFF:
         raise ValueError(f"not a yes or no: {value!r}")
-    return low in _TRUE
+    return low in SWITCH_ON
 
 
 @dataclass(frozen=True)

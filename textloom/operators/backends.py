@@ -75,6 +75,15 @@ class ForgetfulTranslator(EchoTranslator):
         return [t if len(t.split()) <= 100 else " ".join(w for w in t.split() if not (w[:1] == "<" and w[-1:] == ">")) for t in done]
 
 
+class FragileTranslator(EchoTranslator):
+    """As echo, but fails on any call with an e-mail placeholder: what the isolation of failures is for."""
+
+    def translate(self, texts: list[str], max_input_length: int) -> list[str]:
+        if any("<EMAIL_ADDRESS>" in t for t in texts):
+            raise RuntimeError("unknown placeholder")
+        return super().translate(texts, max_input_length)
+
+
 class MarianTranslator(Translator):
     """A sequence-to-sequence model of the transformers library, if that is installed."""
 
@@ -102,7 +111,7 @@ class MarianTranslator(Translator):
         return self.tokenizer.batch_decode(out, skip_special_tokens=True)
 
 
-_MAKERS: dict[str, Callable[..., Translator]] = {"echo": lambda **_: EchoTranslator(), "forgetful": lambda **_: ForgetfulTranslator()}
+_MAKERS: dict[str, Callable[..., Translator]] = {"echo": lambda **_: EchoTranslator(), "forgetful": lambda **_: ForgetfulTranslator(), "fragile": lambda **_: FragileTranslator()}
 
 
 @lru_cache(4)

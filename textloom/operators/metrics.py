@@ -15,6 +15,11 @@ def status_counts(df: DataFrame, status: str = "status") -> DataFrame:
     return counted.unionByName(known.withColumn("n", F.lit(0).cast("bigint"))).groupBy(status).agg(F.sum("n").alias("n"))
 
 
+def merged(first: DataFrame, second: DataFrame, key: str = "status", n: str = "n") -> DataFrame:
+    """Counts of two parts of a run by key, added up; a key that only one part has keeps its count."""
+    return first.select(key, n).unionByName(second.select(key, n)).groupBy(key).agg(F.sum(n).alias(n))
+
+
 def run_metrics(prepared: DataFrame, rows_loaded: int | None = None) -> DataFrame:
     """One row of counters. Flags count on their own: a row can have several, though it has one status."""
     flags = {"rows_too_long_for_model": "too_long_for_model", "rows_url_like_skipped": "url_like_skipped", "rows_exceeding_max_translate_tokens": "exceeds_max_translate_tokens", "rows_chunked": "was_chunked"}

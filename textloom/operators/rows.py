@@ -16,13 +16,20 @@ def require(df: DataFrame, columns: list[str]) -> DataFrame:
     return df
 
 
-def number(df: DataFrame, by: list[str | Column], name: str = "input_row_number") -> DataFrame:
+def number(df: DataFrame, by: list[str | Column], name: str = "input_row_number", key: list[str] | None = None) -> DataFrame:
     """Adds 1-based row numbers in the order of ``by``, without bringing rows to one task.
 
+    With a ``key`` (columns that no two rows agree in, and that ``by`` is made of) keys alone are sorted, written
+    and numbered, and rows get their numbers by a join; without it whole rows are.
+
     A range-partitioned sort gives each partition its place; the sizes of those before come from a table of
     as many rows as there are partitions. The sorted rows are written first, so that partitions that are
     computed again after a loss can't be others than those that were counted.
     """
+    if key:
+        keys = number(df.select(*key), by, name).withColumnsRenamed({c: f"__k{i}" for i, c in enumerate(key)})
+        same = [F.col(f"`{c}`").eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(key)]
+        return df.join(keys, same).drop(*(f"__k{i}" for i in range(len(key))))
     part, place = F.spark_partition_id().alias("__part"), F.monotonically_increasing_id().alias("__place")
     placed = written(df.orderBy(*by).select("*", part, place), "numbered")
     sizes = placed.groupBy("__part").count().orderBy("__part").collect()

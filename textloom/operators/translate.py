@@ -21,10 +21,12 @@ from textloom.sources.store import written
 NUMBER = "input_row_number"
 #: Columns of a run's result after those of its input, in order.
 RESULT = [NUMBER, "flag_contains_emoji", "token_count", "too_long_for_model", "exceeds_max_translate_tokens", "url_like_skipped", "translated_text", "status", "placeholder_ok", "validation_error", "was_chunked", "chunk_count", "model_name", "source_lang", "target_lang", "qe_score", "qe_label", "qe_error", "qe_backend", "qe_model_name"]
-_BUILT_IN = ("echo", "forgetful")
+_BUILT_IN = ("echo", "forgetful", "fragile")
 #: What a model's run adds to a row: the raw text, a status and message if it has one, and how it was cut.
 _OUTCOME = T.StructType().add("raw", T.StringType()).add("said", T.StringType()).add("why", T.StringType()).add("was_chunked", T.BooleanType()).add("chunk_count", T.IntegerType())
 
+_OUTCOME_TYPES = [pa.string(), pa.string(), pa.string(), pa.bool_(), pa.int32()]
+
 
 def native_count(config: Config) -> bool:
     return config.model_name in _BUILT_IN or config.model_name is None
@@ -61,54 +63,62 @@ def prepare(df: DataFrame, config: Config) -> DataFrame:
     return own.withColumn("route", route(F.col("url_like_skipped"), F.col("exceeds_max_translate_tokens"), F.col("too_long_for_model")))
 
 
-def _skipped(rows: DataFrame, config: Config) -> DataFrame:
+def _placed(rows: DataFrame, done: DataFrame, config: Config) -> DataFrame:
+    """All rows with what became of them: the model's outcome by number, or why they were skipped."""
     cap = F.format_string(f"Record exceeds max_translate_tokens limit (%d > {config.max_translate_tokens}).", F.col("token_count"))
     why = F.when(F.col("route") == "skipped_url_like", "Record looks like a URL-like string and was skipped.").otherwise(cap)
-    return rows.withColumns({"raw": F.lit(None).cast("string"), "said": F.col("route"), "why": why, "was_chunked": F.lit(False), "chunk_count": F.lit(0)})
+    skipped = F.col("route").startswith("skipped")
+    joined = rows.join(done.withColumnRenamed(NUMBER, "__number"), F.col(NUMBER) == F.col("__number"), "left").drop("__number")
+    return joined.withColumns({"said": F.when(skipped, F.col("route")).otherwise(F.col("said")), "why": F.when(skipped, why).otherwise(F.col("why")), "was_chunked": F.coalesce("was_chunked", F.lit(False)), "chunk_count": F.coalesce("chunk_count", F.lit(0))})
 
 
 def _translate(rows: DataFrame, config: Config) -> DataFrame:
-    """Runs the model over chunks of the input: normal rows by batch, long rows one by one.
+    """(row number, outcome) of rows that are translated: normal ones by batch within chunks of the input, long ones one by one.
 
-    An error in a batch is the result of all its rows, so batches are the same however rows are partitioned.
+    An error in a batch is the result of all its rows, so batches are the same however rows are partitioned. Only number and
+    text go through the model. Long rows are dealt by number, so that a chunk of many is no task of its own.
     """
-    chunked = rows.withColumn("__chunk", chunk_of(NUMBER, config.input_chunk_size))
-    normal = chunked.where(F.col("route") == "normal")
+    narrow = rows.select(NUMBER, "masked", "token_count", "route")
+    normal = narrow.where(F.col("route") == "normal").drop("route").withColumn("__chunk", chunk_of(NUMBER, config.input_chunk_size))
     order = NUMBER
     if config.sort_batches_by_length:
         normal, order = order_by_length(normal, "__chunk", "token_count", NUMBER, "__order"), "__order"
     packed = pack_batches(normal, "__chunk", order, "token_count", config.batch_size, config.batch_token_budget, "__batch")
-    packed = packed.withColumn("__at", F.col(order).cast("bigint")).drop("__order")
-    long = chunked.where(F.col("route") == "chunked").withColumns({"__batch": F.lit(-1), "__at": F.col(NUMBER).cast("bigint")})
-    units = packed.unionByName(long)
+    packed = packed.select(NUMBER, "masked", "__chunk", "__batch", F.col(order).cast("bigint").alias("__at"))
     name, options = config.model_name or "echo", (config.device, config.max_new_tokens, config.num_beams)
     most, limit, overlap = config.max_input_length, config.chunk_token_limit, config.chunk_overlap_tokens
+    schema = T.StructType([rows.schema[NUMBER], *_OUTCOME])
+
+    def outcome(numbers: pa.Array | pa.ChunkedArray, found: list[tuple]) -> list:
+        return [numbers, *(pa.array([r[k] for r in found], kind) for k, kind in enumerate(_OUTCOME_TYPES))]
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("__batch", "ascending"), ("__at", "ascending")])
         batches, texts = table.column("__batch").to_pylist(), table.column("masked").to_pylist()
         model, out, at = translator(name, *options), [], 0
         while at < len(texts):
-            if batches[at] < 0:
-                try:
-                    done, n = model.translate_long(texts[at], limit, overlap, most)
-                    out.append((done, "ok_chunked", None, True, n))
-                except Exception as e:
-                    out.append((None, "translation_error", f"Chunked translation failed: {e}", False, 0))
-                at += 1
-                continue
             end = next((k for k in range(at, len(texts)) if batches[k] != batches[at]), len(texts))
             try:
                 out += [(t, None, None, False, 0) for t in model.translate(texts[at:end], most)]
             except Exception as e:
                 out += [(None, "translation_error", f"Batch translation failed: {e}", False, 0)] * (end - at)
             at = end
-        for k, (column, kind) in enumerate({"raw": pa.string(), "said": pa.string(), "why": pa.string(), "was_chunked": pa.bool_(), "chunk_count": pa.int32()}.items()):
-            table = table.append_column(column, pa.array([r[k] for r in out], kind))
-        return table.drop_columns(["__batch", "__at", "__chunk"])
+        return pa.table(outcome(table.column(NUMBER), out), names=schema.names)
+
+    def run_long(batches):
+        model = translator(name, *options)
+        for batch in batches:
+            out = []
+            for text in batch.column(1).to_pylist():
+                try:
+                    done, n = model.translate_long(text, limit, overlap, most)
+                    out.append((done, "ok_chunked", None, True, n))
+                except Exception as e:
+                    out.append((None, "translation_error", f"Chunked translation failed: {e}", False, 0))
+            yield pa.RecordBatch.from_arrays(outcome(batch.column(0), out), names=schema.names)
 
-    names = rows.columns
-    return units.select(*names, "__batch", "__at", "__chunk").groupBy("__chunk").applyInArrow(run, T.StructType([*rows.schema, *_OUTCOME]))
+    long = narrow.where(F.col("route") == "chunked").select(NUMBER, "masked").repartition(NUMBER)
+    return packed.groupBy("__chunk").applyInArrow(run, schema).unionByName(long.mapInArrow(run_long, schema))
 
 
 def _judged(rows: DataFrame, config: Config) -> DataFrame:
@@ -122,7 +132,6 @@ def _retried(rows: DataFrame, config: Config) -> DataFrame:
     most, limit, overlap = max(1, config.max_input_length // 2), config.chunk_token_limit, config.chunk_overlap_tokens
     kept = rows.drop("raw", "said", "why", "was_chunked", "chunk_count", "translated_text", "status", "placeholder_ok", "validation_error")
     schema = T.StructType([*kept.schema, *_OUTCOME])
-    kinds = [pa.string(), pa.string(), pa.string(), pa.bool_(), pa.int32()]
 
     def run(batches):
         model = translator(name, *options)
@@ -134,7 +143,7 @@ def _retried(rows: DataFrame, config: Config) -> DataFrame:
                     out.append((done, status, None, status == "ok_chunked", n))
                 except Exception as e:
                     out.append((None, "translation_error", f"Retry translation failed after placeholder_mismatch: {e}", False, 0))
-            added = [pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)]
+            added = [pa.array([r[k] for r in out], kind) for k, kind in enumerate(_OUTCOME_TYPES)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, "raw", "said", "why", "was_chunked", "chunk_count"])
 
     return _judged(kept.mapInArrow(run, schema), config)
@@ -143,9 +152,7 @@ def _retried(rows: DataFrame, config: Config) -> DataFrame:
 def translate(df: DataFrame, config: Config) -> DataFrame:
     """Every non-blank row of a numbered table with the columns of RESULT after its own."""
     prepared = prepare(df, config)
-    skipped = _skipped(prepared.where(F.col("route").startswith("skipped")), config)
-    done = _translate(prepared.where(~F.col("route").startswith("skipped")), config)
-    first = _judged(skipped.unionByName(done), config)
+    first = _judged(_placed(prepared, _translate(prepared, config), config), config)
     if config.retry_placeholder_mismatch:
         first = written(first, "translated")  # the model's work is used twice from here on
         bad = F.col("status") == "placeholder_mismatch"
