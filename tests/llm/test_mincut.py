@@ -3,6 +3,8 @@ import random
 import re
 from itertools import product
 
+import pytest
+
 from textloom.llm import mincut
 from textloom.llm.queries import op1_min_cut_text
 
@@ -116,3 +118,28 @@ def test_edge_cases(spark):
     rows = {(r.page_id, r.text, r.n_chars) for r in mincut.extract(df, carry=["page_id"]).collect()}
     assert rows == {(1, "", 0), (None, "é🔥 is text, and quite so, one would say.", 40)}
     assert mincut.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "inside",
+    [
+        "<aside>Related stories you may like to read today about this.</aside>",
+        "<div class=newsletter-signup><p>Sign up to our newsletter to get the latest news in your inbox every morning.</p></div>",
+        "<div class=disclaimer><p>This site is provided as is without any warranty of any kind, express or implied.</p></div>",
+    ],
+)
+def test_boilerplate_between_paragraphs_is_not_tied_to_them(inside):
+    text = ["The committee met on Tuesday to discuss the new budget for the coming year.", "After a long debate the proposal was accepted by a narrow majority."]
+    whole = "".join(f"<p>{t}</p>" for t in text)
+    assert mincut.main_text(f"<article>{whole}{inside}{whole}</article>").split("\n") == text * 2
+
+
+def test_headers_of_page_and_of_article():
+    text = "The committee met on Tuesday to discuss the new budget for the coming year."
+    assert mincut.main_text(f"<header><h1>My Site</h1><p>The best site for news</p></header><div><p>{text}</p><p>{text}</p></div>") == f"{text}\n{text}"
+    assert mincut.main_text(f"<article><header><h1>Title</h1></header><p>{text}</p><p>{text}</p></article>") == f"Title\n{text}\n{text}"
+
+
+def test_copyright_line_neither_stays_nor_takes_a_short_text_along():
+    page = "<div><div><a href=a>Home</a> | <a href=b>About</a></div><div>The committee met on Tuesday to discuss the new budget.<br>It was long.</div><div>© 2020 All rights reserved</div></div>"
+    assert mincut.main_text(page) == "The committee met on Tuesday to discuss the new budget. It was long."

@@ -36,10 +36,12 @@ ENDS_P = frozenset("address article aside blockquote details dialog div dl field
 #: Evidence in log-odds that a block under the element is boilerplate (positive) or text (negative).
 ELEMENT_ODDS = {"nav": 8.0, "footer": 8.0, "aside": 7.0, "form": 7.0, "button": 8.0, "menu": 7.0, "dialog": 7.0, "fieldset": 6.0, "header": 3.0, "article": -4.0, "main": -3.0}
 ROLE_ODDS = {"navigation": 8.0, "banner": 5.0, "contentinfo": 8.0, "complementary": 7.0, "search": 8.0, "form": 7.0, "menu": 7.0, "menubar": 7.0, "dialog": 7.0, "alertdialog": 7.0, "alert": 6.0, "main": -3.0, "article": -4.0}
+#: Log-odds of a header that is the page's own, not an article's or a section's.
+BANNER_ODDS = 6.0
 #: A word of a class or id, in several languages, and its log-odds.
 NAME_ODDS = dict.fromkeys("ad ads advert advertisement adverts adsense banner sponsor sponsored promo promotion outbrain taboola werbung anzeige anzeigen publicite annonce publicidad anuncio pubblicita reclame reklama".split(), 8.0)
 NAME_ODDS |= dict.fromkeys("comment comments disqus replies respond reply kommentar kommentare commentaire commentaires comentario comentarios commento commenti reacties komentarze".split(), 8.0)
-NAME_ODDS |= dict.fromkeys("cookie cookies consent gdpr notice popup modal overlay paywall hinweis".split(), 7.5)
+NAME_ODDS |= dict.fromkeys("cookie cookies consent gdpr notice notices notification disclaimer disclosure announcement popup modal overlay paywall hinweis".split(), 7.5)
 #: Names up to here hold their content whatever share of the page that is.
 _FIRM = frozenset(NAME_ODDS)
 NAME_ODDS |= dict.fromkeys("nav navbar navi navigation navigacion navigazione menu menue menü breadcrumb breadcrumbs pagination pager toc skip".split(), 7.0)
@@ -93,8 +95,12 @@ class Node:
     #: Letters of running text below, and whether an element of the page's main structure is.
     running: int = 0
     holds: bool = False
+    #: Whether it is inside an element that has a header of its own.
+    within: bool = False
     boiler: float = 0.0
     content: float = 0.0
+    #: Whether certain boilerplate begins here, so that nothing inside is near what is outside.
+    fence: bool = False
 
     @property
     def odds(self) -> float:
@@ -112,6 +118,11 @@ class Block:
     #: Words, counted over the whole text as far as they make a difference.
     words: int = 0
 
+    @property
+    def imprint(self) -> bool:
+        """Whether it begins with a copyright line."""
+        return _IMPRINT.match(self.text) is not None
+
 
 def _attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(source)} if source.strip(" /\t\n\r\f") else {}
@@ -151,15 +162,21 @@ def _settle(nodes: list[Node], blocks: list[Block]) -> None:
     whole = nodes[0].running
     for node in nodes[1:]:
         own, up = node.own, node.parent
+        node.within = up.within or up.name in _SECTIONS
         wraps = whole > 0 and node.running > WRAPS * whole
         kind = 0.0 if node.name == "form" and (wraps or node.holds) else own.kind
         named = own.named if own.firm or not wraps else 0.0
         evidence = max(kind, named)
+        if node.name == "header" and not wraps and not node.within:
+            evidence = max(evidence, BANNER_ODDS)
+        node.fence = evidence >= _CERTAIN
         node.boiler = max(up.boiler, evidence)
         # Inside certain boilerplate nothing speaks for text any more: a card in a sidebar, an aside in an article.
         node.content = 0.0 if evidence >= _CERTAIN else up.content if up.boiler >= _CERTAIN else min(up.content, own.text)
 
 
+#: Elements whose header is theirs and not the page's.
+_SECTIONS = frozenset("article main section aside nav".split())
 #: Elements that no form holds but one around the whole page.
 _STRUCTURE = frozenset("article main nav header footer aside h1".split())
 
@@ -267,6 +284,9 @@ _WORD = re.compile(r"\w+")
 _MOST_WORDS = 60
 
 
+_IMPRINT = re.compile(r"(?:copyright\s*)?©", re.I)
+
+
 def costs(block: Block) -> tuple[float, float]:
     """(cost of calling the block boilerplate, cost of calling it text): minus the logarithms of a logistic classifier's chances."""
     n = len(block.text)
@@ -278,19 +298,22 @@ def costs(block: Block) -> tuple[float, float]:
     if block.node.name in ("p", "blockquote", "pre", "h1", "h2", "h3"):
         odds -= 0.8
     if "©" in block.text:
-        odds += 3.0
+        odds += 6.0 if block.imprint else 3.0
     keep = 1 / (1 + math.exp(max(-30.0, min(30.0, odds))))
     return -math.log(max(1e-9, 1 - keep)), -math.log(max(1e-9, keep))
 
 
 def proximity(a: Node, b: Node) -> float:
     """1 for siblings (and a block's own element), less by DECAY for each further step to the common ancestor; 0 from
-    nine steps on, where less than a hundredth would be left."""
+    nine steps on, where less than a hundredth would be left, and across the border of certain boilerplate."""
     steps = 0
     while a is not b:
         if steps > 8:
             return 0.0
-        if a.depth >= b.depth:
+        lower = a if a.depth >= b.depth else b
+        if lower.fence:
+            return 0.0
+        if lower is a:
             a = a.parent
         else:
             b = b.parent
@@ -368,11 +391,12 @@ def min_cut(content: list[float], boiler: list[float], edges: list[tuple[int, in
 
 def label(blocks: list[Block]) -> list[bool]:
     """Whether each block is text."""
-    priced = [costs(b) for b in blocks]
+    priced, imprints = [costs(b) for b in blocks], [b.imprint for b in blocks]
     edges = []
     for i, a in enumerate(blocks):
         for j in range(i + 1, min(len(blocks), i + 1 + REACH)):
-            weight = SIBLING_WEIGHT * proximity(a.node, blocks[j].node) / (j - i) + (ORDER_WEIGHT if j == i + 1 else 0.0)
+            near = proximity(a.node, blocks[j].node) if imprints[i] == imprints[j] else 0.0
+            weight = SIBLING_WEIGHT * near / (j - i) + (ORDER_WEIGHT if j == i + 1 else 0.0)
             if weight > 0.05:
                 edges.append((i, j, weight))
     return min_cut([p[0] for p in priced], [p[1] for p in priced], edges)
