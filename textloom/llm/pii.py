@@ -152,8 +152,10 @@ def find(df: DataFrame, text: str = "text", carry: list[str] | None = None, **op
     free = F.filter(with_pattern(F.col("like")), lambda s: ~overlaps(s, F.col("base")) & F.exists(shapes(s["value"]), lambda x: x))
     in_context = F.concat(*(with_pattern(F.col(k)) for k in ("email", "ip", "card", "phone")), free)
     carried = [f"__c{i}" for i in range(len(carry))]
-    # Rows are told apart by a hash of all that is carried and the text; rows that agree in both have equal spans.
-    scanned = materialize(own.select(*carried, F.xxhash64(*carried, "__text").alias("__row"), "base", in_context.alias("entities")), "pii")
+    # Rows are told apart by two unlike hashes (96 bits; 64 would meet by chance in some billions of rows) of all that is
+    # carried and the text; rows that agree in all of it have equal spans.
+    row = F.struct(F.xxhash64(*carried, "__text").alias("a"), F.hash(*carried, "__text").alias("b"))
+    scanned = materialize(own.select(*carried, row.alias("__row"), "base", in_context.alias("entities")), "pii")
     entities = scanned.select("__row", F.explode("entities").alias("e")).select("__row", "e.*")
     graph = entities.groupBy("pattern", "value").agg(F.min(F.when(F.col("kind") < BASE, F.col("kind"))).alias("kind"))
     found = bootstrap(graph.withColumn("shapes", shapes(F.col("value"))), **options)
