@@ -531,6 +531,28 @@ def ragged_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(spark, second)[1]
 
 
+@query(f"WITH {_NOISY} SELECT CAST(row_id AS VARCHAR) AS row_id, {_outside('noisy', _ANGLE, 'lower({p})')} AS message, (SELECT count(*) FROM noisy) AS written FROM noisy")
+def lowercase_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lower-casing tool from file to file, and the rows that it says it wrote."""
+    base = new_path(spark, "lowercase")
+    write_csv(_noisy(spark, sf_dir).withColumnRenamed("noisy", "message").orderBy("row_id"), f"{base}/in")
+    written = write_csv(tools.lowercase_messages(read_csv(spark, f"{base}/in")).drop(NUMBER), f"{base}/out")
+    return read_csv(spark, f"{base}/out", number=None).withColumn("written", F.lit(written).cast("bigint"))
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, 25 AS written FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents ORDER BY doc_id LIMIT 25)")
+def first_rows_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rows of a file, which is what this tool is for, written to another."""
+    base = new_path(spark, "first")
+    write_csv(table(spark, sf_dir, "documents").select("doc_id", "text").orderBy("doc_id"), f"{base}/in")
+    written = write_records(*_first(read_records(spark, f"{base}/in"), 25), f"{base}/out")
+    return read_csv(spark, f"{base}/out", number=None).withColumn("written", F.lit(written))
+
+
+def _first(records: tuple[str, DataFrame], n: int) -> tuple[str, DataFrame]:
+    return records[0], rows.head(records[1], n)
+
+
 @query("SELECT conv_id, turn, text FROM conversations")
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "csv")
