@@ -1,7 +1,9 @@
 import hashlib
+import math
 import random
 import re
 import string
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -88,6 +90,100 @@ def test_parts_against_brute_force(spark):
         assert [(p.start, p.end, p.value) for p in r.parts] == [(s, e, r.text[s:e]) for s, e in _remaining(r.text)]
 
 
+def _shares(texts):
+    """Brute force: bits of each symbol, from the words of fewer than 20 symbols and the prior."""
+    n = Counter()
+    for t in texts:
+        for word in re.findall("[A-Za-z0-9+/_-]+", t):
+            if len(word) < 20:
+                n.update(word)
+    prior = {c: secrets.PRIOR_SYMBOLS * p for c, p in secrets._SHARES.items()}
+    total = sum(n.values()) + sum(prior.values())
+    return {c: -math.log2((n[c] + p) / total) for c, p in prior.items()}
+
+
+def _battery(value, bits):
+    """Brute force: (bits, p of the least of the tests), or None without an encoding."""
+    alphabet = next((a for _, a in secrets.ENCODINGS if set(value) <= set(a)), None)
+    if alphabet is None or value.isdigit():
+        return None
+    n, size, counts = len(value), len(alphabet), Counter(value)
+    tail = lambda z: 2 / (1 + math.exp(min(700.0, 1.5976 * abs(z) + 0.07056 * abs(z) ** 3)))
+    chi, free = sum((counts[c] - n / size) ** 2 / (n / size) for c in alphabet), size - 1
+    z = ((chi / free) ** (1 / 3) - (1 - 2 / (9 * free))) / math.sqrt(2 / (9 * free))
+    p = [tail(z) / 2 if z > 0 else 0.5]
+    x = [alphabet.index(c) + 1 - (size + 1) / 2 for c in value]
+    high = sum(v > 0 for v in x)
+    low, runs = n - high, 1 + sum((a > 0) != (b > 0) for a, b in zip(x, x[1:], strict=False))
+    spread = 2 * high * low * (2 * high * low - n) / (n * n * (n - 1))
+    p.append(tail((runs - 2 * high * low / n - 1) / math.sqrt(spread)) if spread > 0 else tail(99.0))
+    square = sum(v * v for v in x)
+    p.append(tail(sum(a * b for a, b in zip(x, x[1:], strict=False)) / square * math.sqrt(n)))
+    return sum(bits[c] - math.log2(size) for c in value), min(p)
+
+
+def _random(texts):
+    """Brute force: every text's spans of no known form, and the threshold in bits."""
+    bits, tests = _shares(texts), []
+    for i, t in enumerate(texts):
+        for s, e in _remaining(t):
+            whole = _battery(t[s:e], bits)
+            tests.append((i, s, e, whole))
+            if whole is None or whole[1] < secrets.ALPHA / 3:
+                tests += [(i, s + m.start(), s + m.end(), _battery(m[0], bits)) for m in re.finditer("[A-Za-z0-9]{20,}", t[s:e]) if m.end() - m.start() < e - s]
+    tests = [x for x in tests if x[3] is not None]
+    good = [x for x in tests if x[3][1] >= secrets.ALPHA / 3]
+    enough = [b for b in {max(0, math.floor(x[3][0])) for x in good} if 2.0**-b <= secrets.FDR * sum(x[3][0] >= b for x in good) / len(tests)]
+    least = min(enough, default=math.inf)
+    return [sorted((s, 3, e) for i, s, e, b in good if i == k and b[0] >= least) for k in range(len(texts))], least
+
+
+def _strings():
+    rng = random.Random(21)
+    base62 = string.ascii_letters + string.digits
+    words = "internationalisation misunderstanding of the counterrevolutionaries and institutional responsibilities session release prod".split()
+
+    def piece():
+        kind = rng.randrange(7)
+        if kind == 0:
+            return "".join(rng.choice(base62) for _ in range(rng.randrange(16, 60)))
+        if kind == 1:
+            return "".join(rng.choice("0123456789ABCDEF") for _ in range(rng.randrange(18, 50)))
+        if kind == 2:
+            return "".join(rng.choice("0123456789") for _ in range(rng.randrange(10, 40)))
+        return rng.choice(words)
+
+    return ["".join(piece() + rng.choice([" ", " ", "-", "_", "/", "+", ". é🔥 "]) for _ in range(rng.randrange(30))) for _ in range(300)]
+
+
+def test_random_spans_against_brute_force(spark):
+    texts = [*_strings(), "", " ".join(_strings())]
+    want, least = _random(texts)
+    df = spark.createDataFrame([*enumerate(texts), (len(texts), None)], "doc_id long, text string")
+    got = {r.doc_id: [(s.start, s.kind, s.end) for s in r.spans if s.kind == 3] for r in secrets.scan(df, carry=["doc_id"]).collect()}
+    assert [got[i] for i in range(len(texts))] == want and got[len(texts)] == []
+    assert 0 < least < math.inf and 200 < sum(map(len, want)) < len([1 for t in texts for _ in _remaining(t)])
+
+
+def test_shares_are_the_corpus_own(spark):
+    texts = ["zq_9 Zebra/fox\n" * 40_000, None, "", "é🔥 " + "k" * 19 + " " + "j" * 20, "ab-c"]
+    got = secrets.text_bits(spark.createDataFrame([(t,) for t in texts], "text string"), "text")
+    want = _shares([t or "" for t in texts])
+    assert set(got) == set(want) and all(abs(got[c] - want[c]) < 1e-9 for c in want)
+    assert got["z"] < -math.log2(secrets._SHARES["z"]) - 3
+    prior = secrets.text_bits(spark.createDataFrame([], "text string"), "text")
+    assert all(abs(prior[c] + math.log2(p / sum(secrets._SHARES.values()))) < 1e-9 for c, p in secrets._SHARES.items())
+
+
+def test_random_segment_between_signs(spark):
+    rng = random.Random(8)
+    key = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(40))
+    texts = [f"é {'release-' * 6}{key}_{'20240101-' * 6}x", f"{key}", "release-" * 9 + "x", f"a+b_{key}-c/d"]
+    scanned = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), carry=["doc_id", "text"])
+    got = {r.doc_id: [r.text[s.start : s.end] for s in r.spans] for r in scanned.collect()}
+    assert got == {0: [key], 1: [key], 2: [], 3: [key]}
+
+
 def test_threshold_is_stricter_with_more_text(spark):
     def threshold(n):
         rows = [(0.0, 0.5, 0.5, 0.5)] * n + [(12.5, 0.5, 0.5, 0.5)] * 3
@@ -112,5 +208,8 @@ def test_query(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = op8_secret_scan(spark, sf).collect()
     assert len(rows) == len(docs)
+    more = dict(zip(docs, _random([t or "" for t in docs.values()])[0], strict=True))
     for r in rows:
-        assert r.base_sha256 == hashlib.sha256(_listed(_base(docs[r.doc_id] or "")).encode()).hexdigest()
+        base = _base(docs[r.doc_id] or "")
+        assert r.base_sha256 == hashlib.sha256(_listed(base).encode()).hexdigest()
+        assert r.spans == _listed(sorted(base + more[r.doc_id]))

@@ -3,8 +3,8 @@
 A string's encoding is inferred as the smallest alphabet that holds its symbols. Under the
 hypothesis of uniform symbols it takes a chi-squared test of the symbols' shares, a runs test about
 the alphabet's middle, and a test of the correlation of neighbours. What passes all is weighed
-against text: the likelihood ratio of uniform symbols to the letter shares of text is an e-value, so
-2 ** -bits bounds the chance that text looks so random, and it falls with length. A Benjamini-
+against text: the likelihood ratio of uniform symbols to the symbols' shares in the corpus's own words is an
+e-value, so 2 ** -bits bounds the chance that text looks so random, and it falls with length. A Benjamini-
 Hochberg threshold over all strings of the corpus, on whole bits, holds the false discovery rate.
 """
 
@@ -15,6 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.functions.text import bound
 from textloom.llm.common import kept, materialize
 from textloom.llm.spans import add_spans, count, listed, narrow
 
@@ -37,8 +38,31 @@ _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvw
 ENCODINGS = [("hex", _DIGITS + "abcdef"), ("HEX", _DIGITS + "ABCDEF"), ("base32", _UPPER + "234567"), ("base36", _DIGITS + _LOWER), ("BASE36", _DIGITS + _UPPER), ("base62", _DIGITS + _UPPER + _LOWER), ("base64", _UPPER + _LOWER + _DIGITS + "+/"), ("base64url", _UPPER + _LOWER + _DIGITS + "-_")]
 #: Per cent of letters in text (published averages over Latin-script languages, rounded).
 _LETTERS = {"e": 13.5, "a": 8.5, "i": 7.5, "n": 7.5, "s": 7.0, "r": 6.8, "t": 7.0, "o": 6.5, "l": 4.7, "d": 4.2, "u": 4.2, "c": 3.1, "m": 2.8, "h": 4.0, "p": 2.2, "g": 2.0, "b": 1.6, "f": 1.6, "v": 1.3, "w": 1.2, "y": 1.0, "k": 0.9, "q": 0.5, "z": 0.5, "x": 0.3, "j": 0.3}
+#: What a symbol's share is taken to be before any text is seen, and how many symbols' weight that has.
 _SHARES = {c: 0.86 * p / 100.7 for c, p in _LETTERS.items()} | {c.upper(): 0.06 * p / 100.7 for c, p in _LETTERS.items()} | dict.fromkeys(_DIGITS, 0.004) | dict.fromkeys("+/-_", 0.01)
-TEXT_BITS = {c: -math.log2(p) for c, p in _SHARES.items()}
+PRIOR_SYMBOLS = 100_000
+_PARTS = "array<struct<start:int,kind:int,end:int,value:string>>"
+
+
+def text_bits(df: DataFrame, text: str) -> dict[str, float]:
+    """Bits of each symbol in text: minus the logarithm of its share in all rows' words of fewer than LEAST symbols, whole texts.
+
+    Longer strings are what is tested, so they take no part. Shares start from those of Latin-script text, with the weight of
+    PRIOR_SYMBOLS symbols, so that a small table has shares too. What comes to the driver is a count a symbol.
+    """
+    common = sorted(_SHARES, key=_SHARES.__getitem__, reverse=True)  # what is taken out first leaves least to look through
+    rest = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), STRING + "+|[^A-Za-z0-9+/_-]++", "")
+
+    def step(s: Column, symbol: Column) -> Column:
+        less = F.replace(s["rest"], symbol, F.lit(""))
+        return bound(less, lambda r: F.struct(r.alias("rest"), F.concat(s["n"], F.array(F.octet_length(s["rest"]) - F.octet_length(r))).alias("n")))
+
+    start = F.struct(rest.alias("rest"), F.array().cast("array<int>").alias("n"))
+    counted = df.select(F.aggregate(F.array(*map(F.lit, common)), start, step, lambda s: s["n"]).alias("n"))
+    sums = counted.agg(*(F.sum(F.get("n", F.lit(i))).alias(f"n{i}") for i in range(len(common)))).first()
+    counts = {c: (sums[i] or 0) + PRIOR_SYMBOLS * _SHARES[c] for i, c in enumerate(common)}
+    total = sum(counts.values())
+    return {c: math.log2(total / n) for c, n in counts.items()}
 
 
 def _alphabet(value: Column) -> Column:
@@ -55,9 +79,9 @@ def _two_sided(z: Column) -> Column:
     return 2 / (1 + F.exp(1.5976 * a + 0.07056 * a * a * a))
 
 
-def battery(value: Column) -> Column:
+def battery(value: Column, text_bits: dict[str, float]) -> Column:
     """struct<bits, p_chi, p_runs, p_serial> of a string; null if it has no testable encoding."""
-    bits_of = F.create_map(*(x for c, b in TEXT_BITS.items() for x in (F.lit(c), F.lit(b))))
+    bits_of = F.create_map(*(x for c, b in text_bits.items() for x in (F.lit(c), F.lit(b))))
 
     def tested(alphabet: Column) -> Column:
         symbols, n, size = F.regexp_extract_all(alphabet, F.lit("."), F.lit(0)), F.length(value).cast("double"), F.length(alphabet).cast("double")
@@ -100,7 +124,7 @@ def remaining(span: Column, base: Column) -> Column:
 
     ``base`` is sorted by start.
     """
-    none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
+    none = F.array().cast(_PARTS)
 
     def until(s: Column, end: Column) -> Column:
         value = F.substring(span["value"], s["at"] - span["start"] + 1, end - s["at"])
@@ -114,24 +138,62 @@ def remaining(span: Column, base: Column) -> Column:
     return F.aggregate(covering, F.struct(span["start"].alias("at"), none.alias("out")), step, lambda s: until(s, span["end"]))
 
 
+def segments(part: Column) -> Column:
+    """The runs of letters and digits between the signs in a part, as spans with values, if they have LEAST symbols or more.
+
+    A part without signs has none.
+    """
+
+    def step(s: Column, run: Column) -> Column:
+        end = s["at"] + F.length(run)
+        own = F.struct(s["at"].alias("start"), part["kind"].alias("kind"), end.alias("end"), run.alias("value"))
+        keep = (F.length(run) >= LEAST) & (F.length(run) < F.length(part["value"]))
+        return F.struct((end + 1).alias("at"), F.when(keep, F.concat(s["out"], F.array(own))).otherwise(s["out"]).alias("out"))
+
+    start = F.struct(part["start"].alias("at"), F.array().cast(_PARTS).alias("out"))
+    return F.aggregate(F.split(part["value"], "[+/_-]", -1), start, step, lambda s: s["out"])
+
+
+def tests_of(part: Column, text_bits: dict[str, float]) -> Column:
+    """struct<start, kind, end, test> of a part and, if it isn't uniform as a whole, of each of its segments; so no two that are overlap."""
+
+    def tested(own: Column, test: Column) -> Column:
+        return F.struct(own["start"].alias("start"), own["kind"].alias("kind"), own["end"].alias("end"), test.alias("test"))
+
+    none = F.array().cast("array<struct<start:int,kind:int,end:int,test:struct<bits:double,p_chi:double,p_runs:double,p_serial:double>>>")
+
+    def with_segments(test: Column) -> Column:
+        inner = F.transform(segments(part), lambda s: tested(s, battery(s["value"], text_bits)))
+        return F.concat(F.array(tested(part, test)), F.when(~F.coalesce(uniform(test), F.lit(False)), inner).otherwise(none))
+
+    return bound(battery(part["value"], text_bits), with_segments)
+
+
+def uniform(test: Column) -> Column:
+    """Whether no test of the battery rejects."""
+    return F.least(test["p_chi"], test["p_runs"], test["p_serial"]) >= ALPHA / 3
+
+
 def scan(df: DataFrame, text: str = "text", carry: list[str] | None = None, fdr: float = FDR) -> DataFrame:
     """The carried columns, ``base`` (spans of the fixed forms) and ``spans`` (all), arrays of struct<start, kind, end>.
 
     A row per row: a null or empty text has no spans, repeated rows have equal ones, and texts are searched whole.
     Spans that begin alike come in the order of their kinds. Base spans are cut out of each string of no known form,
-    and every part of 20 symbols or more that remains is tested by itself.
+    and every part of 20 symbols or more that remains is tested by itself; where it fails, so are its runs of letters and digits.
+    Texts are read twice, first for the shares of symbols.
     Columns that aren't carried are left out whatever their names; an empty table gives no row.
     """
     carry = kept(carry, "base", "spans")
     own = df.select(*(F.col(c).alias(f"__c{i}") for i, c in enumerate(carry)), F.coalesce(F.col(text), F.lit("")).alias("__text"))
+    bits = text_bits(own, "__text")
     own = add_spans(own, "__text", "assign", ASSIGN, 0)
     own = add_spans(own, "__text", "access", ACCESS, 1, "AKIA")
     own = add_spans(own, "__text", "hex", HEX, 2)
     own = add_spans(own, "__text", "string", STRING, 3)
     assigned = F.filter("assign", lambda s: F.length(F.regexp_extract(s["value"], ASSIGN, 1)) >= 6)
     own = own.withColumn("base", narrow(F.concat(assigned, F.col("access"), F.col("hex"))))
-    parts = F.flatten(F.transform("string", lambda s: remaining(s, F.col("base"))))
-    tested = F.transform(parts, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), battery(s["value"]).alias("test")))
+    own = own.withColumn("parts", F.flatten(F.transform("string", lambda s: remaining(s, F.col("base")))))
+    tested = F.flatten(F.transform("parts", lambda p: tests_of(p, bits)))
     own = own.withColumn("tested", F.filter(tested, lambda s: s["test"].isNotNull()))
     carried = [F.col(f"__c{i}") for i in range(len(carry))]
     scanned = materialize(own.select(*carried, "base", "tested"), "secrets")
@@ -142,7 +204,7 @@ def scan(df: DataFrame, text: str = "text", carry: list[str] | None = None, fdr:
 
 def passes(test: Column, threshold: float) -> Column:
     """Uniform by every test, and more bits from text than the threshold."""
-    return (test["bits"] >= threshold) & (F.least(test["p_chi"], test["p_runs"], test["p_serial"]) >= ALPHA / 3)
+    return (test["bits"] >= threshold) & uniform(test)
 
 
 def bits_threshold(tests: DataFrame, fdr: float) -> float:
@@ -151,7 +213,7 @@ def bits_threshold(tests: DataFrame, fdr: float) -> float:
     What comes to the driver is a count for each number of bits up to MOST_BITS.
     """
     bits = F.greatest(F.lit(0), F.least(F.lit(MOST_BITS), F.floor("bits"))).cast("int")
-    eligible = F.least("p_chi", "p_runs", "p_serial") >= ALPHA / 3
+    eligible = uniform(F.struct("p_chi", "p_runs", "p_serial"))
     rows = tests.groupBy(bits.alias("bits")).agg(F.count("*").alias("all"), F.count_if(eligible).alias("n")).collect()
     total, reached, best = sum(r["all"] for r in rows), 0, math.inf
     for r in sorted(rows, key=lambda r: -r["bits"]):
