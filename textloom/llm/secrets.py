@@ -48,19 +48,14 @@ def text_bits(df: DataFrame, text: str) -> dict[str, float]:
     """Bits of each symbol in text: minus the logarithm of its share in all rows' words of fewer than LEAST symbols, whole texts.
 
     Longer strings are what is tested, so they take no part. Shares start from those of Latin-script text, with the weight of
-    PRIOR_SYMBOLS symbols, so that a small table has shares too. What comes to the driver is a count a symbol.
+    PRIOR_SYMBOLS symbols, so that a small table has shares too. Words are counted first, on the map's side, and taken apart
+    once each; what comes to the driver is a count a symbol.
     """
-    common = sorted(_SHARES, key=_SHARES.__getitem__, reverse=True)  # what is taken out first leaves least to look through
-    rest = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), STRING + "+|[^A-Za-z0-9+/_-]++", "")
-
-    def step(s: Column, symbol: Column) -> Column:
-        less = F.replace(s["rest"], symbol, F.lit(""))
-        return bound(less, lambda r: F.struct(r.alias("rest"), F.concat(s["n"], F.array(F.octet_length(s["rest"]) - F.octet_length(r))).alias("n")))
-
-    start = F.struct(rest.alias("rest"), F.array().cast("array<int>").alias("n"))
-    counted = df.select(F.aggregate(F.array(*map(F.lit, common)), start, step, lambda s: s["n"]).alias("n"))
-    sums = counted.agg(*(F.sum(F.get("n", F.lit(i))).alias(f"n{i}") for i in range(len(common)))).first()
-    counts = {c: (sums[i] or 0) + PRIOR_SYMBOLS * _SHARES[c] for i, c in enumerate(common)}
+    words = df.select(F.explode(F.split(F.coalesce(F.col(text), F.lit("")), "[^A-Za-z0-9+/_-]+")).alias("word"))
+    words = words.where(F.length("word").between(1, LEAST - 1)).groupBy("word").agg(F.count("*").alias("n"))
+    symbols = words.select("n", F.explode(F.split("word", "")).alias("symbol"))
+    found = {r["symbol"]: r["n"] for r in symbols.groupBy("symbol").agg(F.sum("n").alias("n")).collect()}
+    counts = {c: found.get(c, 0) + PRIOR_SYMBOLS * p for c, p in _SHARES.items()}
     total = sum(counts.values())
     return {c: math.log2(total / n) for c, n in counts.items()}
 
