@@ -10,7 +10,7 @@ from textloom.operators import combine, metrics, qe, rows, validate
 from textloom.operators.translate import NUMBER, RESULT, translate
 from textloom.plans import run as plans
 from textloom.plans import tools
-from textloom.sources.csv import append_csv, default_path, read_csv, write_csv
+from textloom.sources.csv import append_csv, default_path, read_csv, read_records, write_csv, write_records
 from textloom.sources import store
 from textloom.streaming import stream
 
@@ -244,6 +244,21 @@ def test_ragged_records_are_kept(spark, tmp_path):
     assert cli.main(["sample", "--input", str(source), "--rows", "2", "--output", str(tmp_path / "out")], spark) == "rows: 2"
 
 
+def test_records_of_many_files(spark, tmp_path):
+    """Each file is read without its first line, so each must begin with the header."""
+    own = spark.range(1, 401).select(F.concat("id", F.lit(",x"), F.repeat(F.lit(",y"), (F.col("id") % 3).cast("int"))).alias("record"), F.col("id").alias("n"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert write_records("a,b", own, str(tmp_path / "out"), "n") == 400
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "out").glob("part-*"))) > 1
+    header, back = read_records(spark, str(tmp_path / "out"))
+    assert header == "a,b" and sorted(back.collect(), key=lambda r: r[1]) == own.orderBy("n").collect()
+    assert write_records("a,b", own.limit(0), str(tmp_path / "none"), "n") == 0
+    assert read_records(spark, str(tmp_path / "none"))[1].count() == 0
+
+
 def test_number_by_key_and_counts_by_column(spark, tmp_path):
     df = spark.createDataFrame([(i * 7 % 50, i, "x" * i) for i in range(50)] + [(None, 99, "n")], "k int, v int, payload string").repartition(5)
     got = rows.number(df, ["k"], "n", key=["k"]).orderBy("n").collect()

@@ -61,11 +61,14 @@ def read_records(spark: SparkSession, path: str, number: str = "input_row_number
 
 
 def write_records(header: str, records: DataFrame, path: str, number: str = "input_row_number", mode: str = "overwrite") -> int:
-    """Writes records in order, whatever fields each has; the header is the first line of the first file. The number of records."""
-    first = records.sparkSession.createDataFrame([(header, 0)], f"record string, {number} bigint")
+    """Writes records in order, whatever fields each has; the header is the first line of every file, as readers skip one in each. The number of records."""
+    first = records.sparkSession.createDataFrame([(header, 0)], f"record string, {number} bigint")  # stands for the header if there is no record
     seen = Observation()
     ordered = first.unionByName(records.select("record", number)).orderBy(number)
-    ordered.observe(seen, F.count(F.lit(1)).alias("rows")).select("record").write.mode(mode).text(path)  # above the sort, which reads its input twice
+    counted = ordered.observe(seen, F.count(F.lit(1)).alias("rows"))  # above the sort, which reads its input twice
+    placed = counted.select("record", number, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("__at"))
+    headed = F.when((F.col("__at") == 0) & (F.col(number) > 0), F.array(F.lit(header), F.col("record"))).otherwise(F.array("record"))
+    placed.select(F.explode(headed).alias("record")).write.option("maxRecordsPerFile", 0).mode(mode).text(path)
     return seen.get["rows"] - 1
 
 
