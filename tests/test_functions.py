@@ -130,6 +130,15 @@ def test_merges(spark):
     assert merge.merge_fuzzy(["  ", "x"]) == "x" and merge.merge_fuzzy([]) == ""
 
 
+def test_exact_overlap_goes_first():
+    """Words of a period: a longer overlap that is nearly exact would score above the exact one, and drop the end."""
+    whole = [f"w{i}" for i in range(60)] + "on and on it goes".split() * 6
+    cut = [" ".join(whole), " ".join([*whole[-10:], *"on and on it".split(), "<END>"])]
+    assert merge.overlap_size(cut[0].split(), cut[1].split()) == 15
+    assert merge.merge_fuzzy(cut) == " ".join([*whole, *"on and on it".split(), "<END>"])
+    assert merge.exact_size("a b c d".split(), "a b c d".split()) == 0 and merge.exact_size([], ["a"]) == 0
+
+
 def test_overlap_by_definition():
     rng = random.Random(4)
 
